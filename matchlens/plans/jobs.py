@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from matchlens.operators import activity
-from matchlens.operators.dates import in_month, new_dates, next_date, on_day, parse_day, parse_month
+from matchlens.operators.dates import in_month, new_dates, next_date, on_day
 from matchlens.sinks.tables import Tables
 
 Day = tuple[int, int, int]
@@ -78,32 +76,18 @@ def refresh_activity(tables: Tables, first_only: bool = False, after: str | None
     days = sorted((r.year, r.month, r.day) for r in pending.collect())
     if not days:
         return []
-    run = uuid.uuid4().hex
     months = sorted({day[:2] for day in days})
-    tables.upsert("player_daily", activity.player_daily(tables.read("player_match", in_days(days))), run)
+    tables.upsert("player_daily", activity.player_daily(tables.read("player_match", in_days(days))))
     users = tables.read("daily_player", in_days(days))
-    tables.upsert("daily_active_users", activity.active_users(users), run)
+    tables.upsert("daily_active_users", activity.active_users(users))
     if sketches:
-        tables.upsert("daily_user_sketch", activity.user_sketches(users), run)
+        tables.upsert("daily_user_sketch", activity.user_sketches(users))
         merged = activity.merge_sketches(tables.read("daily_user_sketch", in_months(months)), activity.MONTH)
         monthly = activity.sketch_counts(merged)
     else:
         monthly = activity.active_users(tables.read("daily_player", in_months(months)), activity.MONTH)
-    tables.upsert("monthly_active_users", monthly, run)
+    tables.upsert("monthly_active_users", monthly)
     logged = tables.spark.createDataFrame([(JOB, *day) for day in days], "job string, year int, month int, day int")
-    tables.upsert("processed_dates", logged, run)
+    tables.upsert("processed_dates", logged)
     return days
 
-
-__all__ = [
-    "daily_users",
-    "in_days",
-    "in_months",
-    "parse_day",
-    "parse_month",
-    "pending_dates",
-    "refresh_activity",
-    "run_daily_users",
-    "run_monthly_users",
-    "run_player_daily",
-]

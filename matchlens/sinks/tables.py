@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from matchlens import schema as S
 from matchlens.operators.keyed import newest_rows
-from matchlens.session import checkpoint_dir, new_folder, path_exists
+from matchlens.session import checkpoint_dir, delete_path, path_exists
 
 # Written by streams: every micro-batch adds its own folder and readers take the newest row per key.
 STREAM_TABLES = ("hero_win_rate", "region_num_of_players", "player_match", "daily_player")
@@ -67,24 +69,33 @@ class Tables:
         typed = _conform(rows, table).withColumn("batch", F.lit(batch_id).cast("bigint"))
         self._write(typed, name, (*table.partition_by, "batch"))
 
-    def upsert(self, name: str, rows: DataFrame, job_id: str | None = None) -> None:
-        """Insert or replace rows by key in a batch table.
+    def upsert(self, name: str, rows: DataFrame) -> None:
+        """Insert or replace rows by key in a batch table; one writer at a time.
 
-        With ``job_id`` the merged partitions are staged under a fixed name: when the job is run
-        again after a crash between the two steps, it repeats the replacement from the finished
-        copy instead of merging with half-replaced partitions.
+        The merged partitions are staged first and then replace the old ones. If a run stops during
+        the replacement, the finished copy is still there and the next upsert repeats it first, so no
+        old row is lost.
         """
         table = S.TABLES[name]
-        if job_id is None:
-            staged = new_folder(self.spark, name)
-        else:
-            staged = f"{checkpoint_dir(self.spark)}/upserts/{name}/{job_id}"
-        if not path_exists(self.spark, f"{staged}/_SUCCESS"):
-            incoming = _conform(rows, table).withColumn("_new", F.lit(1))
-            existing = self._touched(name, incoming).withColumn("_new", F.lit(0))
-            merged = newest_rows(existing.unionByName(incoming), table.key, ["_new"]).drop("_new")
-            merged.write.mode("overwrite").parquet(staged)
-        self._write(self.spark.read.schema(table.schema).parquet(staged), name, table.partition_by)
+        self.finish_upsert(name)
+        incoming = _conform(rows, table).withColumn("_new", F.lit(1))
+        existing = self._touched(name, incoming).withColumn("_new", F.lit(0))
+        merged = newest_rows(existing.unionByName(incoming), table.key, ["_new"]).drop("_new")
+        merged.write.mode("overwrite").parquet(self._staged(name))
+        self.finish_upsert(name)
+
+    def _staged(self, name: str) -> str:
+        root = hashlib.sha256(self.root.encode()).hexdigest()[:16]
+        return f"{checkpoint_dir(self.spark)}/upserts/{root}/{name}"
+
+    def finish_upsert(self, name: str) -> None:
+        """Replace partitions from a finished staged copy, if there is one."""
+        table, staged = S.TABLES[name], self._staged(name)
+        if path_exists(self.spark, f"{staged}/_SUCCESS"):
+            self._write(self.spark.read.schema(table.schema).parquet(staged), name, table.partition_by)
+            # The marker goes first: a half-deleted copy must not count as finished.
+            delete_path(self.spark, f"{staged}/_SUCCESS")
+            delete_path(self.spark, staged)
 
     def _touched(self, name: str, incoming: DataFrame) -> DataFrame:
         """Existing rows of the partitions that ``incoming`` falls into."""

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from matchlens import schema as S
 from matchlens.functions.columns import date_parts, event_time, utc_date
 from matchlens.operators.expand import cluster_info, hero_results
-from matchlens.operators.winrate import win_rate_columns
 
 
 def with_event_time(matches: DataFrame, delay: str = S.MATCH_DELAY) -> DataFrame:
@@ -25,30 +24,33 @@ def hero_win_rate_windows(timed: DataFrame, length: str = "1 day", slide: str |
     """Win rate, picks and latest start of each hero per time window.
 
     The ten hero rows of a match are summed per hero inside each task before the shuffle, and only one
-    small state row per hero and window is kept.
+    small state row per hero and window is kept. Sliding windows are built from panes of the slide's
+    length, so a row is not copied into every window that covers it. Works on streams and on batches.
     """
-    results = hero_results(timed, ["ts"])
-    grouped = results.groupBy(F.window("ts", length, slide), "hero_id").agg(*win_rate_columns())
-    return grouped.select(
-        "hero_id", F.col("window.start").alias("window_start"), "wins", "played", "win_rate", "latest"
-    )
+    totals = [F.sum("win").alias("wins"), F.count(F.lit(1)).alias("played"), F.max("start_time").alias("latest")]
+    panes = hero_results(timed, ["ts"]).groupBy(F.window("ts", slide or length), "hero_id").agg(*totals)
+    windows = _slide(panes, "hero_id", ["wins", "played"], length, slide)
+    rate = F.col("wins") / F.col("played")
+    return windows.select("hero_id", "window_start", "wins", "played", rate.alias("win_rate"), "latest")
 
 
 def cluster_player_windows(timed: DataFrame, length: str = "1 day", slide: str | None = None) -> DataFrame:
     """Players who joined per cluster and time window, with the latest start."""
-    joined = timed.select("ts", *_cluster_columns())
-    grouped = joined.groupBy(F.window("ts", length, slide), "cluster_id").agg(
-        F.sum("players").alias("num_of_players"), F.max("start_time").alias("latest")
-    )
-    return grouped.select("cluster_id", F.col("window.start").alias("window_start"), "num_of_players", "latest")
-
-
-def _cluster_columns() -> list:
-    return [
-        F.col("cluster").alias("cluster_id"),
-        "start_time",
-        F.lit(S.MATCH_PLAYERS).cast("bigint").alias("players"),
-    ]
+    players = F.lit(S.MATCH_PLAYERS).cast("bigint").alias("players")
+    joined = timed.select("ts", F.col("cluster").alias("cluster_id"), "start_time", players)
+    totals = [F.sum("players").alias("num_of_players"), F.max("start_time").alias("latest")]
+    panes = joined.groupBy(F.window("ts", slide or length), "cluster_id").agg(*totals)
+    windows = _slide(panes, "cluster_id", ["num_of_players"], length, slide)
+    return windows.select("cluster_id", "window_start", "num_of_players", "latest")
+
+
+def _slide(panes: DataFrame, key: str, sums: list[str], length: str, slide: str | None) -> DataFrame:
+    """Overlapping windows from panes (column ``window``); tumbling windows are their own panes."""
+    if slide is not None:
+        covering = F.window(F.window_time("window"), length, slide)
+        totals = [F.sum(c).alias(c) for c in sums] + [F.max("latest").alias("latest")]
+        panes = panes.groupBy(covering, key).agg(*totals)
+    return panes.withColumn("window_start", F.col("window.start"))
 
 
 def arrival_windows(matches: DataFrame, length: str = "5 minutes") -> DataFrame:
