@@ -20,8 +20,8 @@ _SIDES = (range(S.TEAM_SIZE), range(S.TEAM_SIZE, S.MATCH_PLAYERS))
 
 def _positions(pairs: Sequence[tuple[int, int]]) -> Column:
     """Explode over a constant list of position pairs; folded to a literal by the optimizer."""
-    structs = [F.struct(F.lit(i).alias("slot1"), F.lit(j).alias("slot2")) for i, j in pairs]
-    return F.explode(F.array(*structs)).alias("p")
+    structs = ", ".join(f"named_struct('slot1', {i}, 'slot2', {j})" for i, j in pairs)
+    return F.expr(f"explode(array({structs}))").alias("p")
 
 
 def _hero_at(slot: str) -> Column:

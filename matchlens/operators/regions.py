@@ -34,7 +34,7 @@ def players_in_game(matches: DataFrame) -> DataFrame:
     )
     changes = matches.select(F.col("cluster").alias("cluster_id"), change.alias("c")).select("cluster_id", "c.*")
     per_second = changes.groupBy("cluster_id", utc_date("t").alias("date"), "t").agg(F.sum("delta").alias("delta"))
-    per_day = changes.groupBy("cluster_id", utc_date("t").alias("date")).agg(F.sum("delta").alias("day_delta"))
+    per_day = per_second.groupBy("cluster_id", "date").agg(F.sum("delta").alias("day_delta"))
     days = Window.partitionBy("cluster_id").orderBy("date").rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_day.select(
         "cluster_id", "date", F.coalesce(F.sum("day_delta").over(days), F.lit(0)).alias("before")

@@ -20,7 +20,7 @@ from matchlens.sinks.messages import win_rate_messages
 from matchlens.sinks.tables import Tables
 from matchlens.sources.clusters import default_clusters, default_ranges
 from matchlens.sources.dump import read_dump
-from matchlens.sources.events import read_event_matches
+from matchlens.sources.events import read_event_matches, read_events
 from matchlens.sources.messages import parse_matches, parse_win_rate_messages, read_text_stream
 from matchlens.streaming import pipeline
 from matchlens.streaming.count_windows import live_values
@@ -82,7 +82,7 @@ def _daily_player(m: DataFrame) -> DataFrame:
 
 
 def _event_days(spark: SparkSession, folder: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/events.parquet").select(
+    return read_events(spark, folder).select(
         *date_parts(F.to_date("ts")),
         F.col("user_id").alias("account_id"),
         F.expr("timestampdiff(MILLISECOND, TIMESTAMP_NTZ '1970-01-01 00:00:00', ts)").alias("time_"),
@@ -105,7 +105,7 @@ def _dates_of(m: DataFrame) -> DataFrame:
 
 def _pending(spark: SparkSession, folder: str) -> DataFrame:
     """Days with valid matches after a given date; weekends count as processed."""
-    events = spark.read.parquet(f"{folder}/events.parquet").where("dayofweek(ts) IN (1, 7)")
+    events = read_events(spark, folder).where("dayofweek(ts) IN (1, 7)")
     done = events.select(*date_parts(F.to_date("ts"))).distinct()
     return new_dates(_dates_of(matches(spark, folder)), done, after="2024-01-03")
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from matchlens.operators import activity
 from matchlens.operators.dates import in_month, new_dates, next_date, on_day
-from matchlens.sinks.tables import Tables
+from matchlens.sinks.tables import STREAM_TABLES, Tables
 
 Day = tuple[int, int, int]
 JOB = "activity"
@@ -91,3 +91,9 @@ def refresh_activity(tables: Tables, first_only: bool = False, after: str | None
     tables.upsert("processed_dates", logged)
     return days
 
+
+
+def compact_days(tables: Tables, days: list[Day]) -> None:
+    """Merge the many small micro-batch folders of closed days."""
+    for name in STREAM_TABLES:
+        tables.compact(name, in_days(days))

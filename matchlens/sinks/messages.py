@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
@@ -28,6 +30,15 @@ def write_kafka(messages: DataFrame, servers: str) -> None:
     messages.select(*columns).write.format("kafka").option("kafka.bootstrap.servers", servers).save()
 
 
+def kafka_sender(servers: str) -> Callable[[DataFrame, int], None]:
+    """Sends the messages of a micro-batch to Kafka; a repeated micro-batch sends them again."""
+
+    def send(messages: DataFrame, batch_id: int) -> None:
+        write_kafka(messages, servers)
+
+    return send
+
+
 def kafka_stream_writer(values: DataFrame, servers: str, topic: str, checkpoint: str) -> DataStreamWriter:
     """A streaming writer of ``value`` texts to one topic. Needs the Kafka connector."""
     writer = values.select("value").writeStream.format("kafka").option("kafka.bootstrap.servers", servers)

@@ -14,6 +14,8 @@ from matchlens.session import checkpoint_dir, delete_path, path_exists
 
 # Written by streams: every micro-batch adds its own folder and readers take the newest row per key.
 STREAM_TABLES = ("hero_win_rate", "region_num_of_players", "player_match", "daily_player")
+# Stream tables number the folder of micro-batch n as n times this; compaction uses numbers between.
+BATCH_STEP = 1000
 # More touched partitions than this are found by a semi-join instead of a literal filter.
 MAX_LISTED_PARTITIONS = 10_000
 
@@ -66,9 +68,39 @@ class Tables:
     def append(self, name: str, rows: DataFrame, batch_id: int) -> None:
         """Add a micro-batch, holding at most one row per key, to a stream table."""
         table = S.TABLES[name]
-        typed = _conform(rows, table).withColumn("batch", F.lit(batch_id).cast("bigint"))
+        typed = _conform(rows, table).withColumn("batch", F.lit(batch_id * BATCH_STEP).cast("bigint"))
         self._write(typed, name, (*table.partition_by, "batch"))
 
+    def compact(self, name: str, where: Column) -> None:
+        """Merge the micro-batch folders of each selected day of a stream table into one.
+
+        The merged rows go to a new folder that ranks just above the newest one read; only then are the
+        folders that were read deleted. At every moment readers find all rows, and micro-batches may be
+        appended meanwhile. ``where`` may only use date columns.
+        """
+        table = S.TABLES[name]
+        date = list(table.partition_by)
+        rows = self._scan(name).where(where)
+        # Folder names only: days times micro-batches since the last compaction.
+        by_day: dict[tuple, list[int]] = {}
+        for *day, batch in rows.select(*date, "batch").distinct().collect():
+            by_day.setdefault(tuple(day), []).append(batch)
+        by_day = {day: batches for day, batches in by_day.items() if len(batches) > 1}
+        if not by_day:
+            return
+        targets = self.spark.createDataFrame(
+            [(*day, max(batches) + 1) for day, batches in by_day.items()],
+            T.StructType([*[table.schema[c] for c in date], T.StructField("target", T.LongType())]),
+        )
+        # One row per calendar day, hence small enough to broadcast; newer batches stay out.
+        read = rows.join(F.broadcast(targets), date).where(F.col("batch") < F.col("target"))
+        merged = newest_rows(read, table.key, ["batch"]).withColumn("batch", F.col("target"))
+        self._write(merged.select(*table.schema.fieldNames(), "batch"), name, (*date, "batch"))
+        for day, batches in by_day.items():
+            parent = "/".join(f"{c}={v}" for c, v in zip(date, day))
+            for batch in batches:
+                delete_path(self.spark, f"{self.path(name)}/{parent}/batch={batch}")
+
     def upsert(self, name: str, rows: DataFrame) -> None:
         """Insert or replace rows by key in a batch table; one writer at a time.
 

@@ -64,13 +64,13 @@ def _lines(text: str) -> list[list[str]]:
 
 
 def default_clusters(spark: SparkSession) -> DataFrame:
-    rows = [(int(cluster), region) for cluster, region in _lines(CLUSTERS)]
-    return spark.createDataFrame(rows, "cluster_id int, region string")
+    rows = ", ".join(f"({cluster}, '{region}')" for cluster, region in _lines(CLUSTERS))
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS clusters(cluster_id, region)")
 
 
 def default_ranges(spark: SparkSession) -> DataFrame:
-    rows = [(*map(int, ids.split("-")), region) for ids, region in _lines(CLUSTER_RANGES)]
-    return spark.createDataFrame(rows, "lo int, hi int, region string")
+    rows = ", ".join(f"({ids.replace('-', ', ')}, '{region}')" for ids, region in _lines(CLUSTER_RANGES))
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS ranges(lo, hi, region)")
 
 
 def read_clusters(spark: SparkSession, path: str) -> DataFrame:

@@ -13,8 +13,15 @@ from pyspark.sql import functions as F
 from matchlens import schema as S
 
 
+EVENTS = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+
+
+def read_events(spark: SparkSession, folder: str) -> DataFrame:
+    return spark.read.schema(EVENTS).parquet(f"{folder}/events.parquet")
+
+
 def read_event_matches(spark: SparkSession, folder: str) -> DataFrame:
-    return matches_from_events(spark.read.parquet(f"{folder}/events.parquet"))
+    return matches_from_events(read_events(spark, folder))
 
 
 def matches_from_events(events: DataFrame) -> DataFrame:
@@ -23,51 +30,40 @@ def matches_from_events(events: DataFrame) -> DataFrame:
     All aggregates are fixed-width numbers per slot, so map tasks combine the ten events of a match
     before the shuffle and no group is ever collected into a list.
     """
-    slot = F.col("slot")
-    rows = events.select(
-        F.expr("event_id div 10").alias("match_id"),
-        (F.col("event_id") % 10).cast("int").alias("slot"),
-        (F.get_json_object("props", "$.k").cast("int") % 20).alias("hero_id"),
-        F.when(F.col("user_id") == 0, F.lit(S.PRIVATE_ACCOUNT)).otherwise(F.col("user_id")).alias("account_id"),
-        F.round(F.col("value") * 100).cast("bigint").alias("cents"),
-        F.expr("timestampdiff(SECOND, TIMESTAMP_NTZ '1970-01-01 00:00:00', ts)").alias("second"),
+    rows = events.selectExpr(
+        "event_id div 10 AS match_id",
+        "CAST(event_id % 10 AS INT) AS slot",
+        "CAST(get_json_object(props, '$.k') AS INT) % 20 AS hero_id",
+        f"CASE WHEN user_id = 0 THEN {S.PRIVATE_ACCOUNT} ELSE user_id END AS account_id",
+        "CAST(round(value * 100) AS BIGINT) AS cents",
+        "timestampdiff(SECOND, TIMESTAMP_NTZ '1970-01-01 00:00:00', ts) AS second",
     )
-    per_slot = []
-    for i in range(S.MATCH_PLAYERS):
-        per_slot += [
-            F.max(F.when(slot == i, F.col("hero_id"))).alias(f"hero_{i}"),
-            F.max(F.when(slot == i, F.col("account_id"))).alias(f"account_{i}"),
-        ]
+    slots = range(S.MATCH_PLAYERS)
+    heroes = [F.expr(f"max(hero_id) FILTER (WHERE slot = {i}) AS hero_{i}") for i in slots]
+    accounts = [F.expr(f"max(account_id) FILTER (WHERE slot = {i}) AS account_{i}") for i in slots]
     grouped = rows.groupBy("match_id").agg(
         F.min("second").alias("start_time"),
         F.max("cents").alias("top_cents"),
-        F.sum(F.when(slot < S.TEAM_SIZE, F.col("cents"))).alias("first_side"),
-        F.sum(F.when(slot >= S.TEAM_SIZE, F.col("cents"))).alias("second_side"),
-        *per_slot,
-    )
-    players = F.array(
-        *[
-            F.struct(
-                F.col(f"account_{i}").alias("account_id"),
-                F.lit(i if i < S.TEAM_SIZE else 123 + i).alias("player_slot"),
-                F.col(f"hero_{i}").alias("hero_id"),
-            )
-            for i in range(S.MATCH_PLAYERS)
-        ]
+        F.expr(f"sum(cents) FILTER (WHERE slot < {S.TEAM_SIZE}) AS first_side"),
+        F.expr(f"sum(cents) FILTER (WHERE slot >= {S.TEAM_SIZE}) AS second_side"),
+        *heroes,
+        *accounts,
     )
-    complete = F.lit(True)
-    for i in range(S.MATCH_PLAYERS):
-        complete = complete & F.col(f"hero_{i}").isNotNull()
-    present = F.when(complete, players).otherwise(F.filter(players, lambda p: p["hero_id"].isNotNull()))
-    match_id = F.col("match_id")
-    return grouped.select(
+    player_slots = [i if i < S.TEAM_SIZE else 123 + i for i in slots]
+    structs = [
+        f"named_struct('account_id', account_{i}, 'player_slot', {player_slots[i]}, 'hero_id', hero_{i})" for i in slots
+    ]
+    players = f"array({', '.join(structs)})"
+    complete = " AND ".join(f"hero_{i} IS NOT NULL" for i in slots)
+    present = f"CASE WHEN {complete} THEN {players} ELSE filter({players}, p -> p.hero_id IS NOT NULL) END"
+    return grouped.selectExpr(
         "match_id",
-        match_id.alias("match_seq_num"),
-        (F.col("first_side") >= F.col("second_side")).alias("radiant_win"),
+        "match_id AS match_seq_num",
+        "first_side >= second_side AS radiant_win",
         "start_time",
-        (F.lit(600) + F.col("top_cents") % 2400).cast("int").alias("duration"),
-        (F.lit(110) + match_id % 130).cast("int").alias("cluster"),
-        F.when(match_id % 17 == 0, 9).otherwise(10).alias("human_players"),
-        F.when(match_id % 13 == 0, 4).otherwise(22).alias("game_mode"),
-        present.alias("players"),
+        "CAST(600 + top_cents % 2400 AS INT) AS duration",
+        "CAST(110 + match_id % 130 AS INT) AS cluster",
+        "CASE WHEN match_id % 17 = 0 THEN 9 ELSE 10 END AS human_players",
+        "CASE WHEN match_id % 13 = 0 THEN 4 ELSE 22 END AS game_mode",
+        f"{present} AS players",
     )

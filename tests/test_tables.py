@@ -86,6 +86,47 @@ def test_appended_batches_give_one_row_per_key(spark, tables):
     assert dict(stored.dtypes)["hero_id"] == "string"
 
 
+def batch_folders(tables, name, day):
+    from pathlib import Path
+
+    return {f.name for f in Path(f"{tables.path(name)}/year=2024/month=1/day={day}").iterdir()}
+
+
+def test_compaction_keeps_the_newest_rows(spark, tables):
+    append_matches(tables, 0, match(1, win=True), match(2, start=START + DAY))
+    append_matches(tables, 1, match(1, win=False), match(3, start=START + 60))
+    append_matches(tables, 2, match(4, start=START + 120))
+    before = rows_of(tables.read("player_match"))
+    jobs.compact_days(tables, [(2024, 1, 1), (2024, 1, 2)])
+    assert rows_of(tables.read("player_match")) == before
+    assert batch_folders(tables, "player_match", 1) == {"batch=2001"}
+    assert batch_folders(tables, "player_match", 2) == {"batch=0"}
+    append_matches(tables, 3, match(1, win=True))
+    changed = rows_of(tables.read("player_match"))
+    assert changed != before
+    jobs.compact_days(tables, [(2024, 1, 1)])
+    assert rows_of(tables.read("player_match")) == changed
+    assert batch_folders(tables, "daily_player", 1) == {"batch=3001"}
+
+
+def test_interrupted_compaction_loses_nothing(spark, tables, monkeypatch):
+    append_matches(tables, 0, match(1, win=True))
+    append_matches(tables, 1, match(1, win=False))
+    before = rows_of(tables.read("player_match"))
+
+    def stop(spark, path):
+        raise RuntimeError("stopped before deleting")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(tables_module, "delete_path", stop)
+        with pytest.raises(RuntimeError):
+            tables.compact("player_match", F.col("day") == 1)
+    assert rows_of(tables.read("player_match")) == before
+    tables.compact("player_match", F.col("day") == 1)
+    assert rows_of(tables.read("player_match")) == before
+    assert batch_folders(tables, "player_match", 1) == {"batch=1002"}
+
+
 def test_two_heroes_of_one_account_keep_the_highest_slot(spark, tables):
     append_matches(tables, 0, match(1, team=players(accounts=[5] * 10)))
     assert [(r["account_id"], r["hero_id"]) for r in tables.read("player_match").collect()] == [(5, "10")]
