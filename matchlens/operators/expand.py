@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from matchlens import schema as S
 from matchlens.functions.columns import date_parts, join_ids, utc_date, win_of
+from matchlens.operators.validate import public_accounts
 
 _SIDES = (range(S.TEAM_SIZE), range(S.TEAM_SIZE, S.MATCH_PLAYERS))
 
@@ -96,7 +97,7 @@ def player_results(matches: DataFrame) -> DataFrame:
     exploded = matches.select(
         "match_id", "start_time", "duration", "radiant_win", F.posexplode("players").alias("slot", "player")
     )
-    return exploded.where(F.col("player.account_id") != S.PRIVATE_ACCOUNT).select(
+    rows = exploded.select(
         F.col("player.account_id").alias("account_id"),
         "start_time",
         "duration",
@@ -105,6 +106,7 @@ def player_results(matches: DataFrame) -> DataFrame:
         "match_id",
         "slot",
     )
+    return public_accounts(rows)
 
 
 def player_match_rows(matches: DataFrame) -> DataFrame:

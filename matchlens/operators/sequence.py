@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -40,7 +41,7 @@ def chunk_matches(matches: DataFrame, chunks: int | None = None, folder: str | N
     columns = ["match_id", "start_time", "radiant_win", "players"]
     slim = matches.withColumn("players", F.transform("players", lambda p: F.struct(p["hero_id"].alias("hero_id"))))
     weighted = slim.groupBy(*columns).agg(F.count(F.lit(1)).alias("total"))
-    last_piece = _div(F.col("total") - 1, COPIES_PER_PIECE)
+    last_piece = _div(F.col("total") - 1, F.lit(COPIES_PER_PIECE))
     pieces = weighted.select(*columns, "total", F.explode(F.sequence(F.lit(0).cast("bigint"), last_piece)).alias("piece"))
     sized = pieces.withColumn(
         "copies",
@@ -73,18 +74,20 @@ def with_positions(rows: DataFrame, keys: Sequence[str], before: DataFrame | Non
     return joined.withColumn("position", F.col("_offset") + F.col("_local")).drop("_offset", "_local", "chunk")
 
 
-def window_parts(positioned: DataFrame, keys: Sequence[str], size: int) -> DataFrame:
+def window_parts(positioned: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Wins, games and latest time of every count window (number ``window``), full or not.
 
-    A weighted row may reach over several windows and adds its share to each.
+    The window length is the column ``size``, constant per key. A weighted row may reach over several
+    windows and adds its share to each.
     """
-    end, copies = F.col("position"), F.col("copies")
+    end, copies, size = F.col("position"), F.col("copies"), F.col("size")
     spread = F.sequence(_div(end - copies, size), _div(end - 1, size))
     overlap = F.least(end, (F.col("window") + 1) * size) - F.greatest(end - copies, F.col("window") * size)
-    pieces = positioned.select(*keys, "win", "start_time", "position", "copies", F.explode(spread).alias("window"))
+    columns = [*keys, "size", "win", "start_time", "position", "copies"]
+    pieces = positioned.select(*columns, F.explode(spread).alias("window"))
     return (
         pieces.withColumn("n", overlap)
-        .groupBy(*keys, "window")
+        .groupBy(*keys, "size", "window")
         .agg(
             F.sum(F.col("win") * F.col("n")).alias("wins"),
             F.sum("n").alias("played"),
@@ -93,14 +96,9 @@ def window_parts(positioned: DataFrame, keys: Sequence[str], size: int) -> DataF
     )
 
 
-def full_windows(parts: DataFrame, size: int) -> DataFrame:
-    """Only windows that reached ``size`` rows; the rest of a key has not been emitted yet."""
-    return parts.where(F.col("played") == size).withColumn("win_rate", F.col("wins") / F.col("played"))
-
-
-def count_windows(rows: DataFrame, keys: Sequence[str], size: int) -> DataFrame:
-    """Tumbling count windows: one row for every ``size`` results of a key, in time order."""
-    return full_windows(window_parts(with_positions(rows, keys), keys, size), size)
+def full_windows(parts: DataFrame) -> DataFrame:
+    """Only windows that reached their size; the rest of a key has not been emitted yet."""
+    return parts.where(F.col("played") == F.col("size"))
 
 
 def rolling_win_rate(rows: DataFrame, keys: Sequence[str], size: int, block: int = 100_000) -> DataFrame:
@@ -115,7 +113,7 @@ def rolling_win_rate(rows: DataFrame, keys: Sequence[str], size: int, block: int
     single = positioned.withColumn("_copy", copy).withColumn(
         "position", F.col("position") - F.col("copies") + F.col("_copy")
     )
-    own = _div(F.col("position") - 1, block)
+    own = _div(F.col("position") - 1, F.lit(block))
     is_history = F.col("position") > (own + 1) * block - (size - 1)
     targets = F.when(is_history, F.array(own, own + 1)).otherwise(F.array(own))
     spread = single.select("*", own.alias("_own"), F.explode(targets).alias("_block"))
@@ -129,28 +127,35 @@ def rolling_win_rate(rows: DataFrame, keys: Sequence[str], size: int, block: int
     )
 
 
-def _div(value: Column, divisor: int) -> Column:
-    return F.call_function("div", value, F.lit(divisor).cast("bigint"))
+def _div(value: Column, divisor: Column) -> Column:
+    return F.call_function("div", value, divisor.cast("bigint"))
 
 
 @dataclass(frozen=True)
 class WindowKind:
-    """What one family of count windows is made of: its rows, key and final shape."""
+    """One family of count windows.
+
+    ``rows`` gives results keyed by ``lo`` and ``hi``, with ``turn`` for their order in a match.
+    ``opposed`` tells that one of the two wins, so that key (hi, lo) wins what (lo, hi) loses.
+    """
 
+    code: int
     topic: str
     size: int
-    keys: tuple[str, ...]
     rows: Callable[[DataFrame], DataFrame]
-    shape: Callable[[DataFrame], DataFrame]
+    opposed: bool
 
     def windows(self, chunked: DataFrame, size: int | None = None) -> DataFrame:
-        """Full count windows of chunked matches."""
-        size = size or self.size
-        return self.shape(count_windows(self.rows(chunked), self.keys, size))
+        """Full count windows of chunked matches, one row for every ``size`` results of a key."""
+        windows = all_windows(chunked, (self,), size).drop("topic")
+        if self is HERO:
+            return windows.drop("hero_id2").withColumnRenamed("hero_id1", "hero_id")
+        return windows
 
 
 def _hero_rows(chunked: DataFrame) -> DataFrame:
-    return hero_results(chunked, CHUNK_COLUMNS).withColumn("turn", F.col("slot"))
+    rows = hero_results(chunked, CHUNK_COLUMNS)
+    return rows.select("*", F.col("hero_id").alias("lo"), F.col("hero_id").alias("hi"), F.col("slot").alias("turn"))
 
 
 def _low_high(pairs: DataFrame) -> DataFrame:
@@ -177,34 +182,39 @@ def _counter_rows(chunked: DataFrame) -> DataFrame:
     return both.withColumn("win", F.col("result")).withColumn("turn", meeting * 2 + F.col("side"))
 
 
-def _both_orders(windows: DataFrame, reverse_wins: Column) -> DataFrame:
+HERO = WindowKind(0, S.HERO_TOPIC, S.HERO_WINDOW, _hero_rows, False)
+PAIR = WindowKind(1, S.PAIR_TOPIC, S.PAIR_WINDOW, _pair_rows, False)
+COUNTER = WindowKind(2, S.COUNTER_TOPIC, S.PAIR_WINDOW, _counter_rows, True)
+KINDS = (HERO, PAIR, COUNTER)
+WINDOW_KEY = ("kind", "lo", "hi")
+
+
+def keyed_results(chunked: DataFrame, kinds: Sequence[WindowKind] = KINDS, size: int | None = None) -> DataFrame:
+    """The results of several kinds as one frame, so that one pass numbers them all."""
+    columns = ["lo", "hi", "win", "start_time", *CHUNK_COLUMNS, "turn"]
+    frames = [
+        kind.rows(chunked).select(
+            F.lit(kind.code).alias("kind"), F.lit(size or kind.size).cast("bigint").alias("size"), *columns
+        )
+        for kind in kinds
+    ]
+    return reduce(DataFrame.unionByName, frames)
+
+
+def oriented_windows(windows: DataFrame, kinds: Sequence[WindowKind] = KINDS) -> DataFrame:
+    """Windows keyed by (lo, hi) as rows of both orders, with topic and win rate."""
+    topics = F.create_map(*[F.lit(v) for k in kinds for v in (k.code, k.topic)])
+    opposed = F.col("kind").isin([k.code for k in kinds if k.opposed])
+    reverse = F.when(opposed, F.col("played") - F.col("wins")).otherwise(F.col("wins"))
     forward = F.struct(F.col("lo").alias("hero_id1"), F.col("hi").alias("hero_id2"), F.col("wins"))
-    backward = F.struct(F.col("hi").alias("hero_id1"), F.col("lo").alias("hero_id2"), reverse_wins.alias("wins"))
+    backward = F.struct(F.col("hi").alias("hero_id1"), F.col("lo").alias("hero_id2"), reverse.alias("wins"))
     both = F.when(F.col("lo") == F.col("hi"), F.array(forward)).otherwise(F.array(forward, backward))
-    return windows.select("window", "played", "latest", F.explode(both).alias("o")).select(
-        "o.hero_id1", "o.hero_id2", "window", "o.wins", "played", "latest", (F.col("o.wins") / F.col("played")).alias("win_rate")
-    )
+    rate = (F.col("o.wins") / F.col("played")).alias("win_rate")
+    rows = windows.select(topics[F.col("kind")].alias("topic"), "window", "played", "latest", F.explode(both).alias("o"))
+    return rows.select("topic", "o.hero_id1", "o.hero_id2", "window", "o.wins", "played", "latest", rate)
 
 
-HERO = WindowKind(
-    S.HERO_TOPIC,
-    S.HERO_WINDOW,
-    ("hero_id",),
-    _hero_rows,
-    lambda w: w.select("hero_id", "window", "wins", "played", "latest", "win_rate"),
-)
-PAIR = WindowKind(
-    S.PAIR_TOPIC,
-    S.PAIR_WINDOW,
-    ("lo", "hi"),
-    _pair_rows,
-    lambda w: _both_orders(w, F.col("wins")),
-)
-COUNTER = WindowKind(
-    S.COUNTER_TOPIC,
-    S.PAIR_WINDOW,
-    ("lo", "hi"),
-    _counter_rows,
-    lambda w: _both_orders(w, F.col("played") - F.col("wins")),
-)
-KINDS = (HERO, PAIR, COUNTER)
+def all_windows(chunked: DataFrame, kinds: Sequence[WindowKind] = KINDS, size: int | None = None) -> DataFrame:
+    """Full count windows of several kinds, in one pass over the chunked matches."""
+    rows = with_positions(keyed_results(chunked, kinds, size), WINDOW_KEY)
+    return oriented_windows(full_windows(window_parts(rows, WINDOW_KEY)), kinds)

@@ -59,14 +59,12 @@ def _windows(kind: sequence.WindowKind) -> Query:
 
 def _rolling(m: DataFrame) -> DataFrame:
     rows = sequence.HERO.rows(sequence.chunk_matches(m))
-    rolled = sequence.rolling_win_rate(rows, sequence.HERO.keys, S.HERO_WINDOW)
+    rolled = sequence.rolling_win_rate(rows, ["hero_id"], S.HERO_WINDOW)
     return rolled.select("hero_id", "match_id", "slot", "position", "wins", "played", "win_rate")
 
 
 def _messages(m: DataFrame) -> DataFrame:
-    chunked = sequence.chunk_matches(m)
-    parts = [win_rate_messages(kind.windows(chunked), kind.topic) for kind in sequence.KINDS]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return win_rate_messages(sequence.all_windows(sequence.chunk_matches(m)))
 
 
 def _player_match(m: DataFrame) -> DataFrame:

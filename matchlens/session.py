@@ -18,6 +18,7 @@ def local_session(cores: str = "8", **settings: str) -> SparkSession:
         "spark.ui.enabled": "false",
         "spark.driver.memory": "8g",
         "spark.sql.adaptive.enabled": "true",
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         **settings,
     }
@@ -62,14 +63,27 @@ def stage(df: DataFrame, label: str, folder: str | None = None) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
+def _hadoop(spark: SparkSession, path: str) -> tuple:
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
+    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    files, hadoop_path = _hadoop(spark, path)
+    return files.exists(hadoop_path)
 
 
 def delete_path(spark: SparkSession, path: str) -> None:
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
+    files, hadoop_path = _hadoop(spark, path)
+    files.delete(hadoop_path, True)
+
+
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders directly below ``path``."""
+    files, hadoop_path = _hadoop(spark, path)
+    if not files.exists(hadoop_path):
+        return []
+    return [entry.getPath().getName() for entry in files.listStatus(hadoop_path) if entry.isDirectory()]
 
 
 def drop_staged(spark: SparkSession) -> None:

@@ -12,16 +12,16 @@ from matchlens import schema as S
 from matchlens.functions.columns import event_time, join_ids, rate_text
 
 
-def win_rate_messages(windows: DataFrame, topic: str) -> DataFrame:
-    """``topic``, ``value`` and ``ts`` of finished windows, such as ``12,0.530``."""
-    if topic == S.HERO_TOPIC:
-        parts = [F.col("hero_id").cast("string")]
-    else:
-        parts = [join_ids(F.col("hero_id1"), F.col("hero_id2"))]
-    if topic == S.COUNTER_TOPIC:
-        parts.insert(0, F.lit("counter"))
-    value = F.concat_ws(",", *parts, rate_text(F.col("win_rate")))
-    return windows.select(F.lit(topic).alias("topic"), value.alias("value"), event_time("latest").alias("ts"))
+def win_rate_messages(windows: DataFrame) -> DataFrame:
+    """``topic``, ``value`` and ``ts`` of finished windows, such as ``12,0.530`` or ``counter,1,2,0.480``."""
+    pair = join_ids(F.col("hero_id1"), F.col("hero_id2"))
+    key = (
+        F.when(F.col("topic") == S.HERO_TOPIC, F.col("hero_id1").cast("string"))
+        .when(F.col("topic") == S.PAIR_TOPIC, pair)
+        .otherwise(F.concat(F.lit("counter,"), pair))
+    )
+    value = F.concat_ws(",", key, rate_text(F.col("win_rate")))
+    return windows.select("topic", value.alias("value"), event_time("latest").alias("ts"))
 
 
 def write_kafka(messages: DataFrame, servers: str) -> None:

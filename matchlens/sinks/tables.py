@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from matchlens import schema as S
 from matchlens.operators.keyed import newest_rows
-from matchlens.session import checkpoint_dir, delete_path, path_exists
+from matchlens.session import checkpoint_dir, delete_path, folder_names, path_exists
 
 # Written by streams: every micro-batch adds its own folder and readers take the newest row per key.
 STREAM_TABLES = ("hero_win_rate", "region_num_of_players", "player_match", "daily_player")
@@ -164,35 +164,43 @@ def _conform(rows: DataFrame, table: S.Table) -> DataFrame:
 
 
 class Snapshots:
-    """A small keyed result that each micro-batch replaces as a whole, in two alternating slots.
+    """A small keyed result that each micro-batch replaces as a whole, one folder per micro-batch.
 
-    Batch ``n`` reads the slot of batch ``n - 1`` and writes the other one, so a repeated batch finds
-    its input untouched.
+    Batch ``n`` reads the folder of batch ``n - 1``, which stays until batch ``n + 1`` has been
+    written, so a repeated batch finds its input untouched.
     """
 
     def __init__(self, spark: SparkSession, root: str, schema: str):
         self.spark = spark
         self.root = root.rstrip("/")
-        self.schema = f"{schema}, batch bigint"
+        self.schema = schema
 
-    def _slot(self, batch_id: int) -> str:
-        return f"{self.root}/slot={batch_id % 2}"
+    def _folder(self, batch_id: int) -> str:
+        return f"{self.root}/batch={batch_id}"
 
-    def _scan(self, path: str) -> DataFrame:
-        if not path_exists(self.spark, path):
-            return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(path)
+    def _finished(self, batch_id: int) -> bool:
+        return path_exists(self.spark, f"{self._folder(batch_id)}/_SUCCESS")
+
+    def _read(self, batch_id: int) -> DataFrame:
+        return self.spark.read.schema(self.schema).parquet(self._folder(batch_id))
+
+    def _empty(self) -> DataFrame:
+        return self.spark.createDataFrame([], self.schema)
 
     def before(self, batch_id: int) -> DataFrame:
         """The state that batch ``batch_id`` starts from; empty for the first batch."""
-        rows = self._scan(self._slot(batch_id - 1)) if batch_id > 0 else self.spark.createDataFrame([], self.schema)
-        return rows.where(F.col("batch") == batch_id - 1).drop("batch")
+        if batch_id == 0:
+            return self._empty()
+        if not self._finished(batch_id - 1):
+            raise RuntimeError(f"no snapshot of batch {batch_id - 1} in {self.root}")
+        return self._read(batch_id - 1)
 
     def write(self, rows: DataFrame, batch_id: int) -> None:
-        rows.withColumn("batch", F.lit(batch_id).cast("bigint")).write.mode("overwrite").parquet(self._slot(batch_id))
+        rows.write.mode("overwrite").parquet(self._folder(batch_id))
+        delete_path(self.spark, self._folder(batch_id - 2))
 
     def latest(self) -> DataFrame:
         """The newest finished snapshot."""
-        rows = self._scan(self._slot(0)).unionByName(self._scan(self._slot(1)))
-        newest = rows.agg(F.max("batch").alias("batch"))
-        return rows.join(newest, "batch").drop("batch")
+        numbers = [int(name.removeprefix("batch=")) for name in folder_names(self.spark, self.root)]
+        finished = [n for n in numbers if self._finished(n)]
+        return self._read(max(finished)) if finished else self._empty()

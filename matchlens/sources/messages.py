@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from matchlens import schema as S
 from matchlens.functions.columns import flag
@@ -69,7 +68,3 @@ def parse_win_rate_messages(messages: DataFrame) -> DataFrame:
     counter = F.concat(F.array(F.lit("counter")), F.slice("parts", 2, F.lit(2)))
     key = F.when(F.col("topic") == S.COUNTER_TOPIC, F.concat_ws(",", counter)).otherwise(F.concat_ws(",", body))
     return split.select("topic", key.alias("key"), F.element_at("parts", -1).alias("value"), "ts")
-
-
-def message_schema() -> T.StructType:
-    return S.WIN_RATE_MESSAGE

@@ -11,25 +11,27 @@ Inside a micro-batch results are taken in time order, across micro-batches in or
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from matchlens.operators.keyed import latest_values
-from matchlens.operators.sequence import KINDS, WindowKind, chunk_matches, full_windows, window_parts, with_positions
+from matchlens.operators.sequence import (
+    KINDS, WINDOW_KEY, WindowKind, chunk_matches, full_windows, keyed_results, oriented_windows, window_parts, with_positions,
+)
 from matchlens.session import delete_path, new_folder, stage
 from matchlens.sinks.messages import win_rate_messages
 from matchlens.sinks.tables import Snapshots
 from matchlens.sources.messages import parse_win_rate_messages
 
 LIVE_SCHEMA = "key string, value string, ts timestamp"
+STATE_SCHEMA = "kind int, lo int, hi int, size bigint, played bigint, wins bigint, latest bigint"
+STATE_COLUMNS = [*WINDOW_KEY, "size", "played", "wins", "latest"]
 
 
-def open_window_state(spark: SparkSession, root: str, kind: WindowKind) -> Snapshots:
-    keys = ", ".join(f"{k} int" for k in kind.keys)
-    return Snapshots(spark, f"{root}/{kind.topic}", f"{keys}, played bigint, wins bigint, latest bigint")
+def open_windows(spark: SparkSession, root: str) -> Snapshots:
+    """The window that each key has begun but not filled."""
+    return Snapshots(spark, f"{root}/state", STATE_SCHEMA)
 
 
 def live_values(spark: SparkSession, root: str) -> Snapshots:
@@ -37,17 +39,17 @@ def live_values(spark: SparkSession, root: str) -> Snapshots:
     return Snapshots(spark, f"{root}/live", LIVE_SCHEMA)
 
 
-def advance(kind: WindowKind, chunked: DataFrame, carried: DataFrame, size: int) -> DataFrame:
+def advance(results: DataFrame, carried: DataFrame) -> DataFrame:
     """All windows touched by a micro-batch, the carried open ones included.
 
     A carried window is window 0 of its key and shifts the key's numbering by its games.
     """
-    before = carried.select(*kind.keys, F.col("played").alias("before"))
-    parts = window_parts(with_positions(kind.rows(chunked), kind.keys, before), kind.keys, size)
-    first = carried.select(*kind.keys, F.lit(0).cast("bigint").alias("window"), "wins", "played", "latest")
+    before = carried.select(*WINDOW_KEY, F.col("played").alias("before"))
+    parts = window_parts(with_positions(results, WINDOW_KEY, before), WINDOW_KEY)
+    first = carried.withColumn("window", F.lit(0).cast("bigint"))
     return (
         parts.unionByName(first)
-        .groupBy(*kind.keys, "window")
+        .groupBy(*WINDOW_KEY, "size", "window")
         .agg(F.sum("wins").alias("wins"), F.sum("played").alias("played"), F.max("latest").alias("latest"))
     )
 
@@ -66,15 +68,11 @@ def process_batch(
     """
     spark = batch.sparkSession
     folder = new_folder(spark, "micro-batch")
-    chunked = chunk_matches(batch, folder=folder)
-    done = []
-    for kind in kinds:
-        limit = size or kind.size
-        state = open_window_state(spark, f"{root}/state", kind)
-        touched = stage(advance(kind, chunked, state.before(batch_id), limit), kind.topic, folder)
-        state.write(touched.where(F.col("played") < limit).select(*kind.keys, "played", "wins", "latest"), batch_id)
-        done.append(win_rate_messages(kind.shape(full_windows(touched, limit)), kind.topic))
-    messages = reduce(DataFrame.unionByName, done)
+    results = keyed_results(chunk_matches(batch, folder=folder), kinds, size)
+    state = open_windows(spark, root)
+    touched = stage(advance(results, state.before(batch_id)), "windows", folder)
+    state.write(touched.where(F.col("played") < F.col("size")).select(*STATE_COLUMNS), batch_id)
+    messages = win_rate_messages(oriented_windows(full_windows(touched), kinds))
     update_live_values(messages, batch_id, root)
     send(messages, batch_id)
     delete_path(spark, folder)

@@ -98,11 +98,9 @@ def test_dump_layout(spark, tmp_path):
 
 
 def test_win_rate_messages(spark):
-    hero = spark.createDataFrame([(12, 0.53, START)], "hero_id int, win_rate double, latest bigint")
-    pair = spark.createDataFrame([(1, 2, 0.48, START)], "hero_id1 int, hero_id2 int, win_rate double, latest bigint")
-    assert win_rate_messages(hero, S.HERO_TOPIC).first()["value"] == "12,0.530"
-    assert win_rate_messages(pair, S.PAIR_TOPIC).first()["value"] == "1,2,0.480"
-    assert win_rate_messages(pair, S.COUNTER_TOPIC).first()["value"] == "counter,1,2,0.480"
+    rows = [(S.HERO_TOPIC, 12, 12, 0.53, START), (S.PAIR_TOPIC, 1, 2, 0.48, START), (S.COUNTER_TOPIC, 1, 2, 0.48, START)]
+    windows = spark.createDataFrame(rows, "topic string, hero_id1 int, hero_id2 int, win_rate double, latest bigint")
+    assert [r["value"] for r in win_rate_messages(windows).collect()] == ["12,0.530", "1,2,0.480", "counter,1,2,0.480"]
 
 
 def test_messages_with_wrong_parts_are_ignored(spark):

@@ -15,7 +15,7 @@ from matchlens.sinks.tables import Tables
 from matchlens.sources.messages import parse_matches, read_message_stream, read_text_stream
 from matchlens.streaming import pipeline
 from matchlens.streaming.count_windows import (
-    count_window_writer, live_value_writer, live_values, message_files, open_window_state, process_batch,
+    count_window_writer, live_value_writer, live_values, message_files, open_windows, process_batch,
 )
 from matchlens.streaming.windows import (
     arrival_windows, dedup_replays, hero_win_rate_windows, with_event_time,
@@ -141,7 +141,7 @@ def test_restart_continues_from_the_checkpoint(spark, tmp_path, live):
     messages = spark.read.schema("topic string, value string").json(str(tmp_path / "out/live/messages"))
     # Seven results per hero: three windows of two, one result left over across the restart.
     assert messages.where(F.col("topic") == S.HERO_TOPIC).count() == 30
-    state = open_window_state(spark, str(tmp_path / "out/live/state"), sequence.HERO).latest()
+    state = open_windows(spark, str(tmp_path / "out/live")).latest().where("kind = 0")
     assert {r["played"] for r in state.collect()} == {1}
 
 
@@ -177,7 +177,7 @@ def test_a_repeated_micro_batch_changes_nothing(spark, tmp_path):
         process_batch(pipeline.parsed_matches(part), batch_id, root, message_files(f"{root}/messages"), (sequence.HERO,), 2)
     messages = spark.read.json(f"{root}/messages")
     assert messages.where("value LIKE '1,%'").count() == 4
-    left = open_window_state(spark, f"{root}/state", sequence.HERO).latest().where("hero_id = 1").first()
+    left = open_windows(spark, root).latest().where("lo = 1").first()
     assert left["played"] == 1
 
 

@@ -214,4 +214,7 @@ def test_snapshots(spark, tmp_path):
         fresh = old.withColumn("n", F.col("n") + 1).unionByName(spark.createDataFrame([(f"k{batch_id}", 0)], "key string, n bigint"))
         state.write(fresh, batch_id)
         state.write(fresh, batch_id)  # a repeated batch reads the same input again
-    assert rows_of(state.latest().select("key", "n")) == [("k0", 3), ("k1", 2), ("k2", 1), ("k3", 0)]
+    assert rows_of(state.latest()) == [("k0", 3), ("k1", 2), ("k2", 1), ("k3", 0)]
+    assert {f.name for f in (tmp_path / "state").iterdir()} == {"batch=2", "batch=3"}
+    with pytest.raises(RuntimeError):
+        state.before(7)
