@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SECONDS_PER_DAY = 86400
@@ -47,3 +49,12 @@ def rate_text(win_rate: Column) -> Column:
 def win_of(slot: Column, radiant_win: Column) -> Column:
     """1 when the player at list position ``slot`` is on the winning side, else 0."""
     return ((slot < F.lit(5)) == radiant_win).cast("int")
+
+
+def select_once(df: DataFrame, columns: Sequence[Column | str]) -> DataFrame:
+    """Like ``select``, for costly expressions such as parsed JSON.
+
+    A filter above a plain ``select`` is pushed below it with its own copies of the expressions, so each
+    text would be parsed once per condition. Nothing is copied through a generator.
+    """
+    return df.select(F.inline(F.array(F.struct(*columns))))

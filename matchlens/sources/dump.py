@@ -43,12 +43,16 @@ def sort_players(players: Column) -> Column:
 
 
 def matches_from_dump(lines: DataFrame) -> DataFrame:
-    """Typed matches; a line without exactly ten players is dropped."""
+    """Typed matches; a line without exactly ten players is dropped.
+
+    The players go through ``explode`` so that the filters above do not parse the map again; the other
+    columns can still be pruned from the scan.
+    """
     columns = [c for c in S.DUMP_COLUMNS.fieldNames() if c != "radiant_win"]
     typed = lines.select(
         *columns,
         F.coalesce(flag(F.col("radiant_win")), F.lit(False)).alias("radiant_win"),
-        players_of(F.col("pgroup")).alias("players"),
+        F.explode(F.array(players_of(F.col("pgroup")))).alias("players"),
     )
     return typed.where(F.col("match_id").isNotNull() & (F.size("players") == S.MATCH_PLAYERS))
 

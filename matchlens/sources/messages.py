@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from matchlens import schema as S
-from matchlens.functions.columns import flag
+from matchlens.functions.columns import flag, select_once
 from matchlens.sources.dump import sort_players
 
 
@@ -46,12 +46,13 @@ def parse_matches(lines: DataFrame, text: str = "value", *keep: str) -> DataFram
     """
     parsed = F.from_json(_readable(F.col(text)), S.MESSAGE, {"allowUnquotedFieldNames": "true"})
     fields = [c for c in S.MESSAGE.fieldNames() if c not in ("radiant_win", "players")]
-    return lines.select(*keep, parsed.alias("m")).select(
-        *keep,
+    columns = [
+        *[F.col(c) for c in keep],
         *[F.col(f"m.{c}").alias(c) for c in fields],
         F.coalesce(flag(F.col("m.radiant_win")), F.lit(False)).alias("radiant_win"),
         sort_players(F.col("m.players")).alias("players"),
-    )
+    ]
+    return select_once(lines.select(*keep, parsed.alias("m")), columns)
 
 
 def parse_win_rate_messages(messages: DataFrame) -> DataFrame:
