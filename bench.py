@@ -60,7 +60,8 @@ def main() -> None:
         seconds[name] = round(time.perf_counter() - start, 3)
     total = round(sum(seconds.values()), 3)
     scale = os.path.basename(folder.rstrip("/")).removeprefix("sf")
-    print(json.dumps({"metric": "total_seconds", "value": total, "unit": "sec", "queries": seconds, "sf": float(scale)}))
+    result = {"metric": "total_seconds", "value": total, "unit": "sec", "queries": seconds, "sf": float(scale)}
+    print(json.dumps(result))
     spark.stop()
 
 

@@ -8,6 +8,8 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from matchlens.functions.columns import date_parts
+
 
 def parse_day(text: str) -> date:
     """``yyyy-MM-dd`` or ValueError."""
@@ -50,4 +52,4 @@ def new_dates(dated: DataFrame, processed: DataFrame, after: str | None = None)
 def next_date(days: DataFrame) -> DataFrame:
     """The smallest of the given dates (no row when there is none)."""
     smallest = days.agg(F.min(row_date()).alias("date")).where(F.col("date").isNotNull())
-    return smallest.select(F.year("date").alias("year"), F.month("date").alias("month"), F.dayofmonth("date").alias("day"))
+    return smallest.select(*date_parts(F.col("date")))

@@ -122,8 +122,9 @@ def player_match_rows(matches: DataFrame) -> DataFrame:
 
 def daily_player_rows(matches: DataFrame) -> DataFrame:
     """Rows of the ``daily_player`` table: the same facts, date first."""
+    time = F.col("start_time").alias("time_")
     return player_match_rows(matches).select(
-        "year", "month", "day", "account_id", F.col("start_time").alias("time_"), "hero_id", "duration", "match_id", "slot"
+        "year", "month", "day", "account_id", time, "hero_id", "duration", "match_id", "slot"
     )
 
 

@@ -19,10 +19,10 @@ def newest_rows(rows: DataFrame, keys: Sequence[str], newest: Sequence[str | Col
     return ranked.where(F.col("_rank") == 1).drop("_rank")
 
 
-def latest_values(rows: DataFrame, key: str = "key", value: str = "value", newest: Sequence[str] = ("ts",)) -> DataFrame:
-    """The newest value of each key with its time, as a plain aggregate.
+def latest_values(rows: DataFrame, newest: Sequence[str] = ("ts",)) -> DataFrame:
+    """The newest ``value`` of each ``key`` with its time ``ts``, as a plain aggregate.
 
     ``newest`` lists the deciding columns; the value itself breaks the remaining ties.
     """
-    order = F.struct(*newest, value)
-    return rows.groupBy(key).agg(F.max_by(value, order).alias(value), F.max_by("ts", order).alias("ts"))
+    order = F.struct(*newest, "value")
+    return rows.groupBy("key").agg(F.max_by("value", order).alias("value"), F.max_by("ts", order).alias("ts"))

@@ -52,7 +52,8 @@ def with_region(rows: DataFrame, exact: DataFrame, ranges: DataFrame) -> DataFra
     Ranges are unrolled to single ids, so both lookups are one equi-join and no range join is
     needed. The lookup has one row per cluster id, which the id space of servers bounds.
     """
-    spelled = ranges.select(F.explode(F.sequence("lo", "hi")).alias("cluster_id"), F.col("region"), F.lit(1).alias("rank"))
+    each_id = F.explode(F.sequence("lo", "hi")).alias("cluster_id")
+    spelled = ranges.select(each_id, "region", F.lit(1).alias("rank"))
     known = exact.select("cluster_id", "region", F.lit(0).alias("rank")).unionByName(spelled)
     lookup = known.groupBy("cluster_id").agg(F.min_by("region", "rank").alias("region"))
     return rows.join(lookup, "cluster_id", "left")

@@ -21,8 +21,10 @@ from matchlens import schema as S
 from matchlens.operators.expand import hero_counters_once, hero_pairs_once, hero_results
 from matchlens.session import stage
 
-# A match replayed more often than this is split into several weighted rows.
-COPIES_PER_PIECE = 100_000
+# Equal matches become weighted rows of at most this many copies, so that rows weigh about the same.
+COPIES_PER_PIECE = 10
+# A match with more copies is first cut into blocks that different tasks turn into pieces.
+COPIES_PER_BLOCK = 1_000_000
 CHUNK_COLUMNS = ("chunk", "seq", "copies")
 # Order of result rows: the match's number, then the turn inside the match.
 ORDER = ("seq", "turn")
@@ -38,19 +40,39 @@ def chunk_matches(matches: DataFrame, chunks: int | None = None, folder: str | N
     """
     spark = matches.sparkSession
     chunks = chunks or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    by_time = ["start_time", "match_id", "content", "block", "piece"]
+    ordered = _weighted_matches(matches).repartitionByRange(chunks, *by_time).sortWithinPartitions(*by_time)
+    numbered = ordered.drop("content", "block", "piece").withColumn("chunk", F.spark_partition_id())
+    return stage(numbered.withColumn("seq", F.monotonically_increasing_id()), "chunks", folder)
+
+
+def _weighted_matches(matches: DataFrame) -> DataFrame:
+    """Distinct matches with ``copies``, numbered by ``block`` and ``piece`` where there are many.
+
+    Counting combines copies in map tasks. The numbers let range partitioning spread the copies of
+    one match over several chunks.
+    """
+    heroes = F.transform("players", lambda p: F.struct(p["hero_id"].alias("hero_id")))
     columns = ["match_id", "start_time", "radiant_win", "players"]
-    slim = matches.withColumn("players", F.transform("players", lambda p: F.struct(p["hero_id"].alias("hero_id"))))
-    weighted = slim.groupBy(*columns).agg(F.count(F.lit(1)).alias("total"))
-    last_piece = _div(F.col("total") - 1, F.lit(COPIES_PER_PIECE))
-    pieces = weighted.select(*columns, "total", F.explode(F.sequence(F.lit(0).cast("bigint"), last_piece)).alias("piece"))
-    sized = pieces.withColumn(
-        "copies",
-        F.least(F.lit(COPIES_PER_PIECE).cast("bigint"), F.col("total") - F.col("piece") * COPIES_PER_PIECE),
-    ).drop("total")
-    by_time = ["start_time", "match_id", "piece"]
-    ordered = sized.repartitionByRange(chunks, *by_time).sortWithinPartitions(*by_time).drop("piece")
-    numbered = ordered.withColumn("chunk", F.spark_partition_id()).withColumn("seq", F.monotonically_increasing_id())
-    return stage(numbered, "chunks", folder)
+    counted = matches.withColumn("players", heroes).groupBy(*columns).agg(F.count(F.lit(1)).alias("total"))
+    counted = counted.withColumn("content", F.xxhash64("radiant_win", "players"))
+    few = counted.where(F.col("total") <= COPIES_PER_BLOCK).withColumn("block", F.lit(0).cast("bigint"))
+    many = counted.where(F.col("total") > COPIES_PER_BLOCK)
+    blocks = many.withColumn("block", _numbers(F.col("total"), COPIES_PER_BLOCK)).repartition("match_id", "block")
+    in_block = _part(F.col("total"), F.col("block"), COPIES_PER_BLOCK)
+    pieces = few.unionByName(blocks).withColumn("total", in_block)
+    pieces = pieces.withColumn("piece", _numbers(F.col("total"), COPIES_PER_PIECE))
+    return pieces.withColumn("copies", _part(F.col("total"), F.col("piece"), COPIES_PER_PIECE)).drop("total")
+
+
+def _numbers(total: Column, size: int) -> Column:
+    """One row for each part of at most ``size``: 0, 1, ..."""
+    return F.explode(F.sequence(F.lit(0).cast("bigint"), _div(total - 1, F.lit(size))))
+
+
+def _part(total: Column, number: Column, size: int) -> Column:
+    """The size of one of these parts."""
+    return F.least(F.lit(size).cast("bigint"), total - number * size)
 
 
 def with_positions(rows: DataFrame, keys: Sequence[str], before: DataFrame | None = None) -> DataFrame:

@@ -20,7 +20,7 @@ from matchlens.sinks.messages import win_rate_messages
 from matchlens.sinks.tables import Tables
 from matchlens.sources.clusters import default_clusters, default_ranges
 from matchlens.sources.dump import read_dump
-from matchlens.sources.events import read_event_matches, read_events
+from matchlens.sources.events import EPOCH_SECONDS, read_event_matches, read_events
 from matchlens.sources.messages import parse_matches, parse_win_rate_messages, read_text_stream
 from matchlens.streaming import pipeline
 from matchlens.streaming.count_windows import live_values
@@ -83,7 +83,7 @@ def _event_days(spark: SparkSession, folder: str) -> DataFrame:
     return read_events(spark, folder).select(
         *date_parts(F.to_date("ts")),
         F.col("user_id").alias("account_id"),
-        F.expr("timestampdiff(MILLISECOND, TIMESTAMP_NTZ '1970-01-01 00:00:00', ts)").alias("time_"),
+        F.expr(f"({EPOCH_SECONDS}) * 1000").alias("time_"),
     )
 
 
@@ -243,7 +243,9 @@ def catalog() -> dict[str, Query]:
         "player_daily": _on_matches(lambda m: activity.player_daily(_player_match(m))),
         "player_activity": _on_matches(lambda m: serving.with_minutes(activity.player_daily(_player_match(m)))),
         "hero_history": _on_matches(lambda m: serving.hero_history(winrate.hero_win_rate_daily(m), 1)),
-        "users_around": _on_matches(lambda m: serving.users_around(activity.active_users(_daily_player(m)), "2024-01-15", 5)),
+        "users_around": _on_matches(
+            lambda m: serving.users_around(activity.active_users(_daily_player(m)), "2024-01-15", 5)
+        ),
         "daily_accounts": lambda s, d: activity.distinct_accounts(_event_days(s, d)),
         "dau_exact": lambda s, d: activity.active_users(_event_days(s, d)),
         "dau_sorted": lambda s, d: activity.active_users_sorted(_event_days(s, d)),

@@ -62,7 +62,9 @@ def pending_dates(tables: Tables, job: str = JOB, after: str | None = None) -> D
     return new_dates(tables.dates("hero_win_rate"), done, after)
 
 
-def refresh_activity(tables: Tables, first_only: bool = False, after: str | None = None, sketches: bool = False) -> list[Day]:
+def refresh_activity(
+    tables: Tables, first_only: bool = False, after: str | None = None, sketches: bool = False
+) -> list[Day]:
     """Bring player totals, daily users and monthly users up to date; returns the days done.
 
     All pending days are computed in one pass per table. The days are logged last, so a run that

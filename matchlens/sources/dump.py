@@ -35,11 +35,10 @@ def sort_players(players: Column) -> Column:
             F.coalesce(p["hero_id"], F.lit(0)).alias("hero_id"),
         )
 
-    ordered = F.array_sort(F.transform(players, slot_first))
-    return F.transform(
-        ordered,
-        lambda p: F.struct(p["account_id"].alias("account_id"), p["player_slot"].alias("player_slot"), p["hero_id"].alias("hero_id")),
-    )
+    def in_order_of_type(p: Column) -> Column:
+        return F.struct(*[p[name].alias(name) for name in S.PLAYER.fieldNames()])
+
+    return F.transform(F.array_sort(F.transform(players, slot_first)), in_order_of_type)
 
 
 def matches_from_dump(lines: DataFrame) -> DataFrame:

@@ -13,6 +13,12 @@ from pyspark.sql import functions as F
 from matchlens import schema as S
 
 
+# Seconds since 1970 of a timestamp without zone, taken as UTC whatever the session zone is.
+EPOCH_SECONDS = "unix_date(CAST(ts AS DATE)) * 86400L + hour(ts) * 3600 + minute(ts) * 60 + second(ts)"
+# The number k of the properties. The usual flat text is matched directly; any other one is parsed.
+PROPERTY_K = """coalesce(
+    TRY_CAST(regexp_extract(props, r'^[{]"k": ([0-9]{1,9})[}]$', 1) AS INT),
+    CAST(get_json_object(props, '$.k') AS INT))"""
 EVENTS = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
 
 
@@ -33,10 +39,10 @@ def matches_from_events(events: DataFrame) -> DataFrame:
     rows = events.selectExpr(
         "event_id div 10 AS match_id",
         "CAST(event_id % 10 AS INT) AS slot",
-        "CAST(get_json_object(props, '$.k') AS INT) % 20 AS hero_id",
+        f"{PROPERTY_K} % 20 AS hero_id",
         f"CASE WHEN user_id = 0 THEN {S.PRIVATE_ACCOUNT} ELSE user_id END AS account_id",
         "CAST(round(value * 100) AS BIGINT) AS cents",
-        "timestampdiff(SECOND, TIMESTAMP_NTZ '1970-01-01 00:00:00', ts) AS second",
+        f"{EPOCH_SECONDS} AS second",
     )
     slots = range(S.MATCH_PLAYERS)
     heroes = [F.expr(f"max(hero_id) FILTER (WHERE slot = {i}) AS hero_{i}") for i in slots]

@@ -10,7 +10,9 @@ from matchlens.functions.columns import flag, select_once
 from matchlens.sources.dump import sort_players
 
 
-def read_kafka_stream(spark: SparkSession, servers: str, topics: str, starting: str = "latest", **options: str) -> DataFrame:
+def read_kafka_stream(
+    spark: SparkSession, servers: str, topics: str, starting: str = "latest", **options: str
+) -> DataFrame:
     """A stream of ``topic``, ``value`` (text) and ``ts``; ``topics`` is a comma-separated list.
 
     Needs the Kafka connector on the classpath.

@@ -11,14 +11,23 @@ Inside a micro-batch results are taken in time order, across micro-batches in or
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from matchlens.operators.keyed import latest_values
 from matchlens.operators.sequence import (
-    KINDS, WINDOW_KEY, WindowKind, chunk_matches, full_windows, keyed_results, oriented_windows, window_parts, with_positions,
-)
+    KINDS,
+    WINDOW_KEY,
+    WindowKind,
+    chunk_matches,
+    full_windows,
+    keyed_results,
+    oriented_windows,
+    window_parts,
+    with_positions,
+)
 from matchlens.session import delete_path, new_folder, stage
 from matchlens.sinks.messages import win_rate_messages
 from matchlens.sinks.tables import Snapshots

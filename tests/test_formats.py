@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from rows import START, bare_text, frame, match, players
 
 from matchlens import schema as S
+from matchlens.functions.columns import date_text
 from matchlens.operators.validate import drop_malformed, valid_matches
+from matchlens.session import checkpoint_dir, folder_names, new_folder, stage
 from matchlens.sinks.exports import to_bare_json, to_dump_rows, to_message_json, write_dump
 from matchlens.sinks.messages import win_rate_messages
 from matchlens.sources.clusters import read_clusters, read_ranges
@@ -113,6 +115,18 @@ def test_messages_with_wrong_parts_are_ignored(spark):
     assert parsed == {("12", "0.530"), ("1,2", "0.480"), ("counter,1,2", "0.480")}
 
 
+def test_date_text(spark):
+    rows = spark.createDataFrame([(2024, 1, 5)], "year int, month int, day int")
+    assert rows.select(date_text()).first()[0] == "2024-01-05"
+
+
+def test_staged_tables(spark, tmp_path):
+    staged = stage(spark.range(3), "numbers", str(tmp_path))
+    assert staged.count() == 3 and folder_names(spark, str(tmp_path)) == ["numbers"]
+    folder = new_folder(spark, "numbers")
+    assert folder.startswith(checkpoint_dir(spark))
+
+
 def test_cluster_files(spark, tmp_path):
     exact, ranges = tmp_path / "exact.txt", tmp_path / "ranges.txt"
     exact.write_text("https://example.org/a\nhttps://example.org/b\n\n111,United States\n155,Southeast Asia\n")

@@ -127,14 +127,23 @@ def test_count_windows(spark, kind, hot, copies):
     assert len(found) == len(expected)
 
 
-def test_copies_are_split_into_pieces(spark, monkeypatch):
-    monkeypatch.setattr(sequence, "COPIES_PER_PIECE", 8)
+@pytest.mark.parametrize("block", [8, 20, 1000])
+def test_copies_are_split_into_pieces(spark, monkeypatch, block):
+    monkeypatch.setattr(sequence, "COPIES_PER_PIECE", 4)
+    monkeypatch.setattr(sequence, "COPIES_PER_BLOCK", block)
     rows = random_matches(5, 30, copies=30)
     chunked = sequence.chunk_matches(frame(spark, *rows), chunks=3)
-    assert chunked.agg(F.max("copies")).first()[0] == 8
+    assert chunked.agg(F.max("copies")).first()[0] == 4
     assert chunked.agg(F.sum("copies")).first()[0] == len(rows)
     found = sequence.HERO.windows(chunked, 7).collect()
-    assert {(r["hero_id"], r["window"]): (r["wins"], r["latest"]) for r in found} == expected_windows(rows, sequence.HERO, 7)
+    expected = expected_windows(rows, sequence.HERO, 7)
+    assert {(r["hero_id"], r["window"]): (r["wins"], r["latest"]) for r in found} == expected
+
+
+def test_copies_of_one_match_spread_over_chunks(spark):
+    rows = [match(1)] * 200 + [match(i, start=START + i) for i in range(2, 30)]
+    sizes = sequence.chunk_matches(frame(spark, *rows), chunks=4).groupBy("chunk").count().collect()
+    assert len(sizes) == 4 and max(r["count"] for r in sizes) <= 20
 
 
 def test_window_counts(spark):
