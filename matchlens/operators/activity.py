@@ -78,3 +78,10 @@ def active_users_hll(
     rows: DataFrame, period: tuple[str, ...] = DAY, account: str = "account_id", bits: int = S.SKETCH_BITS
 ) -> DataFrame:
     return sketch_counts(user_sketches(rows, period, account, bits))
+
+
+def close_counts(exact: DataFrame, estimated: DataFrame, period: tuple[str, ...], error: float = 0.05) -> DataFrame:
+    """Exact counts per period and whether the estimates lie within the relative error of them."""
+    both = exact.join(estimated.withColumnRenamed("num", "estimate"), list(period), "full")
+    close = F.abs(F.col("estimate") - F.col("num")) <= F.col("num") * error + 1
+    return both.select(*period, "num", close.alias("close"))

@@ -97,6 +97,23 @@ def _monthly_from_sketches(spark: SparkSession, folder: str) -> DataFrame:
     return activity.sketch_counts(activity.merge_sketches(daily, activity.MONTH))
 
 
+def _close_days(spark: SparkSession, folder: str) -> DataFrame:
+    """Exact daily users and whether the sketch agrees within three standard errors."""
+    rows = _event_days(spark, folder)
+    return activity.close_counts(activity.active_users(rows), activity.active_users_hll(rows), activity.DAY)
+
+
+def _close_months(spark: SparkSession, folder: str) -> DataFrame:
+    rows = _order_months(spark, folder)
+    exact, estimated = activity.active_users(rows, activity.MONTH), activity.active_users_hll(rows, activity.MONTH)
+    return activity.close_counts(exact, estimated, activity.MONTH)
+
+
+def _close_merged_months(spark: SparkSession, folder: str) -> DataFrame:
+    exact = activity.active_users(_event_days(spark, folder), activity.MONTH)
+    return activity.close_counts(exact, _monthly_from_sketches(spark, folder), activity.MONTH)
+
+
 def _dates_of(m: DataFrame) -> DataFrame:
     return m.select(*date_parts(utc_date()))
 
@@ -254,6 +271,9 @@ def catalog() -> dict[str, Query]:
         "dau_hll": lambda s, d: activity.active_users_hll(_event_days(s, d)),
         "mau_hll": lambda s, d: activity.active_users_hll(_order_months(s, d), activity.MONTH),
         "mau_from_daily_sketches": _monthly_from_sketches,
+        "dau_hll_close": _close_days,
+        "mau_hll_close": _close_months,
+        "mau_sketches_close": _close_merged_months,
         "new_dates": _pending,
         "next_date": lambda s, d: next_date(_pending(s, d)),
         "newest_items": _newest_items,

@@ -102,3 +102,19 @@ def start(writers: dict[str, DataStreamWriter], interval: str | None = "5 second
     """
     trigger = {"processingTime": interval} if interval else {"availableNow": True}
     return [writer.queryName(name).trigger(**trigger).start() for name, writer in writers.items()]
+
+
+def malformed_lines(query: StreamingQuery) -> int:
+    """Lines that were not matches, over the recent micro-batches of a query that observes parsing."""
+    observed = [p["observedMetrics"].get(PARSE_METRICS) for p in query.recentProgress]
+    return sum(o["malformed"] for o in observed if o)
+
+
+def late_rows(query: StreamingQuery) -> int:
+    """Rows that stateful operators dropped as too late over the recent micro-batches.
+
+    Not a count of matches: rows are counted after the tasks have combined them, and possibly by more
+    than one operator. Zero means that nothing was late.
+    """
+    operators = [o for p in query.recentProgress for o in p["stateOperators"]]
+    return sum(o["numRowsDroppedByWatermark"] for o in operators)

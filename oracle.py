@@ -210,6 +210,12 @@ def oracle_sql() -> dict[str, str]:
         ),
         "mau_exact": """SELECT CAST(year(o_orderdate) AS INTEGER) AS year, CAST(month(o_orderdate) AS INTEGER) AS month,
   count(DISTINCT o_custkey) AS num FROM orders GROUP BY ALL""",
+        "dau_hll_close": f"SELECT {event_day}, count(DISTINCT user_id) AS num, true AS close FROM events GROUP BY ALL",
+        "mau_hll_close": """SELECT CAST(year(o_orderdate) AS INTEGER) AS year,
+  CAST(month(o_orderdate) AS INTEGER) AS month, count(DISTINCT o_custkey) AS num, true AS close
+  FROM orders GROUP BY ALL""",
+        "mau_sketches_close": """SELECT CAST(year(ts) AS INTEGER) AS year, CAST(month(ts) AS INTEGER) AS month,
+  count(DISTINCT user_id) AS num, true AS close FROM events GROUP BY ALL""",
         "newest_items": """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, strftime(l_shipdate, '%Y-%m-%d') AS shipped
   FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber
     ORDER BY CAST(l_shipdate AS DATE) DESC, l_partkey DESC, l_suppkey DESC) = 1""",

@@ -37,8 +37,10 @@ def finish(writer, **trigger):
 
 
 def run_all(writers):
-    for query in pipeline.start(writers, interval=None):
+    queries = pipeline.start(writers, interval=None)
+    for query in queries:
         query.awaitTermination()
+    return queries
 
 
 @pytest.fixture
@@ -49,7 +51,7 @@ def live(spark, tmp_path):
     def run(files_per_batch=1, names=None, **options):
         lines = read_text_stream(spark, str(tmp_path / "in"), files_per_batch)
         writers = pipeline.live_writers(lines, tables, str(tmp_path / "out"), str(tmp_path / "ck"), **options)
-        run_all({n: w for n, w in writers.items() if names is None or n in names})
+        run.queries = run_all({n: w for n, w in writers.items() if names is None or n in names})
         return tables
 
     return run
@@ -87,8 +89,7 @@ def test_malformed_lines_are_reported(spark, tmp_path):
     put(tmp_path / "in", "a.txt", bare_text(1), "broken", "{}")
     matches = pipeline.parsed_matches(read_text_stream(spark, str(tmp_path / "in")), pipeline.PARSE_METRICS)
     query = finish(matches.writeStream.format("noop").option("checkpointLocation", str(tmp_path / "ck")))
-    observed = [p["observedMetrics"][pipeline.PARSE_METRICS] for p in query.recentProgress if p["observedMetrics"]]
-    assert sum(o["malformed"] for o in observed) == 2
+    assert pipeline.malformed_lines(query) == 2
 
 
 def test_late_matches_are_dropped(spark, tmp_path, live):
@@ -100,6 +101,7 @@ def test_late_matches_are_dropped(spark, tmp_path, live):
     put(source, "e.txt", bare_text(5, start=START + 2 * DAY + 3600 * 5), age=10)
     tables = live(names=["hero_days"])
     assert counts(tables) == {1: 1, 2: 2}
+    assert pipeline.late_rows(live.queries[0]) > 0
 
 
 def test_disorder_within_the_delay_is_kept(spark, tmp_path, live):
@@ -109,6 +111,7 @@ def test_disorder_within_the_delay_is_kept(spark, tmp_path, live):
     put(source, "c.txt", bare_text(3, start=START + DAY - 30), age=30)
     put(source, "d.txt", bare_text(4, start=START + 3 * DAY), age=20)
     assert counts(live(names=["hero_days"])) == {1: 2, 2: 1}
+    assert pipeline.late_rows(live.queries[0]) == 0
 
 
 def test_replays_count_unless_dropped(spark, tmp_path, live):
