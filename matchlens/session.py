@@ -18,6 +18,7 @@ def local_session(cores: str = "8", **settings: str) -> SparkSession:
         "spark.ui.enabled": "false",
         "spark.driver.memory": "8g",
         "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "100KB",
         "spark.python.sql.dataFrameDebugging.enabled": "false",
         "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         **settings,
