@@ -4,9 +4,11 @@ import pytest
 from compare import compare, duck
 
 import __spark_entry__ as contract
+from matchlens.plans.catalog import catalog
+from oracle import oracle_sql
 
 SMALL, MEDIUM = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
-QUERIES, SQL = contract.queries(), contract.oracle_sql()
+QUERIES, SQL = catalog(), oracle_sql()
 # Too few rows per key for full count windows in the smallest tables.
 NEED_MEDIUM = {
     "hero_count_window", "pair_count_window", "counter_count_window", "win_rate_messages",
