@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from matchlens.llm import maglev, quotient_dedup, tree_bpe, vector_packing
+from matchlens.llm import host_rules, line_mph, maglev, quotient_dedup, simhash_grid, tree_bpe, vector_packing
 from matchlens.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +27,19 @@ def op5_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_packing.pack_documents(documents(spark, sf_dir), vocabulary, ranks)
 
 
+def op6_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return host_rules.verdicts(documents(spark, sf_dir))
+
+
+def op8_line_mph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_mph.drop_repeated_lines(documents(spark, sf_dir))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+def op9_simhash_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_grid.near_classes(documents(spark, sf_dir))
+
+
 def op10_tree_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = public_tokenizers.path("word_bpe_49k.json")
     coded = tree_bpe.encode_texts(documents(spark, sf_dir), vocabulary, digests=True)
@@ -37,6 +51,9 @@ def queries() -> dict[str, Query]:
         "op1_maglev_sharding": op1_maglev_sharding,
         "op4_quotient_dedup": op4_quotient_dedup,
         "op5_vector_packing": op5_vector_packing,
+        "op6_host_rules": op6_host_rules,
+        "op8_line_mph": op8_line_mph,
+        "op9_simhash_grid": op9_simhash_grid,
         "op10_tree_bpe": op10_tree_bpe,
     }
 
@@ -48,4 +65,22 @@ def oracle_sql() -> dict[str, str]:
             g AS (SELECT norm, min(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY norm)
             SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS text_sha256 FROM d JOIN g USING (norm)
         """,
+        "op8_line_mph": r"""
+            WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+            l AS (SELECT doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS i FROM d),
+            k AS (
+                SELECT doc_id, i, line, translate(
+                    regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'),
+                    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+                FROM l
+            ),
+            f AS (
+                SELECT key, max(doc_id) AS keeper FROM k WHERE length(key) >= 20
+                GROUP BY key HAVING count(DISTINCT doc_id) >= 3
+            ),
+            x AS (SELECT k.*, keeper IS NULL OR keeper = doc_id AS stays FROM k LEFT JOIN f USING (key))
+            SELECT doc_id, count(*) AS n_lines, count(*) FILTER (NOT stays) AS n_dropped,
+                sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (stays), '')) AS kept_sha256
+            FROM x GROUP BY doc_id
+        """,
     }
