@@ -8,7 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchlens.llm import host_rules, line_mph, maglev, quotient_dedup, simhash_grid, tree_bpe, vector_packing
+from matchlens.llm import (
+    ecoc_language,
+    host_rules,
+    line_mph,
+    maglev,
+    quotient_dedup,
+    simhash_grid,
+    suffix_levels,
+    toxicity_grammar,
+    tree_bpe,
+    vector_packing,
+)
 from matchlens.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +29,15 @@ def op1_maglev_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return maglev.place(documents(spark, sf_dir).select("doc_id"), "doc_id")
 
 
+def op2_ecoc_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ecoc_language.predict(documents(spark, sf_dir))
+
+
+def op3_suffix_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = suffix_levels.remove_repeats(documents(spark, sf_dir))
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op4_quotient_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quotient_dedup.exact_groups(documents(spark, sf_dir))
 
@@ -31,6 +51,10 @@ def op6_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return host_rules.verdicts(documents(spark, sf_dir))
 
 
+def op7_toxicity_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity_grammar.score(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op8_line_mph(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = line_mph.drop_repeated_lines(documents(spark, sf_dir))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
@@ -46,15 +70,25 @@ def op10_tree_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.withColumnsRenamed({"ids": "ids_sha256", "decoded": "decoded_sha256"})
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from corpus_pipeline import run
+
+    return run(spark, sf_dir)
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_maglev_sharding": op1_maglev_sharding,
+        "op2_ecoc_language": op2_ecoc_language,
+        "op3_suffix_levels": op3_suffix_levels,
         "op4_quotient_dedup": op4_quotient_dedup,
         "op5_vector_packing": op5_vector_packing,
         "op6_host_rules": op6_host_rules,
+        "op7_toxicity_grammar": op7_toxicity_grammar,
         "op8_line_mph": op8_line_mph,
         "op9_simhash_grid": op9_simhash_grid,
         "op10_tree_bpe": op10_tree_bpe,
+        "pipeline": pipeline,
     }
 
 
