@@ -11,7 +11,7 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchlens.session import stage
+from matchlens.session import delete_path, new_folder
 
 SPACE = r"[\x20\x09-\x0D]"
 BLANKS = " \t\n\x0b\x0c\r"
@@ -57,4 +57,30 @@ def spread(rows: int, per_group: int) -> int:
     return max(1, -(-rows // per_group))
 
 
-__all__ = ["BLANKS", "SPACE", "documents", "id_crc", "ship", "spread", "stage", "text_of"]
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def stage(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` once as Parquet in the shared folder and return a scan of it.
+
+    The shuffle files of the write are deleted with it, so a job of many steps needs the disk of one.
+    """
+    spark = df.sparkSession
+    path, before = new_folder(spark, label), spark.conf.get(CLEANUP)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
+    staged = spark.read.schema(df.schema).parquet(path)
+    staged._staged_at = path
+    return staged
+
+
+def drop(*staged: DataFrame) -> None:
+    """Delete staged tables that nothing reads any more."""
+    for df in staged:
+        delete_path(df.sparkSession, df._staged_at)
+
+
+__all__ = ["BLANKS", "SPACE", "documents", "drop", "id_crc", "ship", "spread", "stage", "text_of"]

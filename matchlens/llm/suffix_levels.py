@@ -15,13 +15,14 @@ by one, with one example of each different run.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from matchlens.llm.common import stage, text_of
+from matchlens.llm.common import drop, stage, text_of
 
 LENGTH = 200
 HEAD = 64
@@ -148,7 +149,9 @@ class SuffixFamily:
         size = 0
         while size < len(self.levels) and self.levels[size] is not None:
             merged = self.levels[size].unionByName(array).groupBy("key", "digest").agg(F.sum("n").alias("n"))
-            array, self.levels[size] = stage(merged.sortWithinPartitions("key", "digest"), "suffix-level"), None
+            merged = stage(merged.sortWithinPartitions("key", "digest"), "suffix-level")
+            drop(array, self.levels[size])
+            array, self.levels[size] = merged, None
             size += 1
         self.levels += [None] * (size + 1 - len(self.levels))
         self.levels[size] = array
@@ -181,19 +184,19 @@ def _heads(texts: DataFrame) -> DataFrame:
 def repeated_spans(texts: DataFrame, batches: int = BATCHES) -> DataFrame:
     """(row, lo, hi): ranges of heads of ``texts`` (row, text) that start at least twice; row is unique but for equal rows."""
     runs = stage(suffix_runs(texts), "runs")
-    own = runs.where("digest IS NULL").select("row", "lo", "hi")
+    own = stage(runs.where("digest IS NULL").select("row", "lo", "hi"), "inner")
     real = runs.where("digest IS NOT NULL")
-    family, shared = SuffixFamily(), None
+    family, found = SuffixFamily(), []
     for number in range(batches):
         batch = real.where(F.pmod(F.xxhash64("row"), F.lit(batches)) == number)
-        found = family.add(family.array(batch))
-        shared = found if shared is None else shared.union(found)
-    shared = stage(shared.distinct(), "shared")
+        found.append(family.add(family.array(batch)))
+    shared = stage(reduce(DataFrame.union, found).distinct(), "shared")
     entries = family.entries().join(shared, "key", "left_semi")
     kinds = entries.groupBy("key").agg(F.count("*").alias("kinds"))
     marked = stage(entries.join(kinds, "key").where("n > 1 OR kinds > 1"), "entries")
 
     hits = stage(real.join(marked, ["key", "digest"]).select("row", "lo", "hi", "key", "digest", "n", "kinds"), "hits")
+    drop(runs, marked, shared, *found, *(level for level in family.levels if level is not None))
     whole = hits.where("n > 1").select("row", "lo", "hi")
     # Heads of runs that occur once are looked up among those of one example of every other run with the same key.
     single = hits.where("n = 1").select("row", "lo", "hi", F.lit(True).alias("wanted"))
@@ -208,6 +211,8 @@ def repeated_spans(texts: DataFrame, batches: int = BATCHES) -> DataFrame:
     heads = stage(_heads(texts.join(asked, "row").select("row", "text", "runs")), "heads")
     often = heads.groupBy("head").agg(F.count("*").alias("n")).where("n > 1").select("head")
     found = heads.where("wanted").join(often, "head").select("row", F.col("at").alias("lo"), F.col("at").alias("hi"))
+    found = stage(found, "repeated-heads")
+    drop(heads)
     return own.unionByName(whole).unionByName(found)
 
 
