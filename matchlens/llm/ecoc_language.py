@@ -72,7 +72,7 @@ def _slices(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarr
     reach = max(ORDERS) - 1
     for i, text in enumerate(texts):
         for at in range(0, max(len(text), 1), CHUNK):
-            # A slice repeats the end of the one before, so that each n-gram of a long text lies in a slice.
+            # A slice repeats the last letters of the one before, so no n-gram of a long text is lost; a handful count twice.
             part = text[max(0, at - reach) : at + CHUNK] + " " * reach
             held.append(part)
             owners.append(i)

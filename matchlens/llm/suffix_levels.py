@@ -235,19 +235,22 @@ def remove_repeats(docs: DataFrame, carry: list[str] | None = None, batches: int
     def cut(batch_iter: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batch_iter:
             kept, sizes, removed, counts = [], [], [], []
-            texts_of, spans_list = batch.column("__text"), batch.column("__spans").to_pylist()
-            for value, ranges in zip(texts_of, spans_list):
-                data = value.as_py().encode()
-                gone = np.zeros(len(data) + 1, dtype=np.int64)
-                for r in ranges or ():
-                    gone[r["lo"]] += 1
-                    gone[r["hi"] + LENGTH] -= 1
-                mask = np.cumsum(gone[:-1]) > 0
-                left = np.frombuffer(data, dtype=np.uint8)[~mask].tobytes() if mask.any() else data
+            ranges = batch.column("__spans")
+            ends = ranges.offsets.to_numpy()
+            lo, hi = (ranges.values.field(i).to_numpy() for i in range(2))
+            for i, value in enumerate(batch.column("__text")):
+                data, a, b = value.as_py().encode(), ends[i], ends[i + 1]
+                left, spans = data, 0
+                if b > a:
+                    n = len(data) + 1
+                    depth = np.bincount(lo[a:b], minlength=n) - np.bincount(hi[a:b] + LENGTH, minlength=n)
+                    mask = np.cumsum(depth[:-1]) > 0
+                    left = np.frombuffer(data, dtype=np.uint8)[~mask].tobytes()
+                    spans = int(np.count_nonzero(mask[1:] > mask[:-1])) + int(mask[0])
                 kept.append(left)
                 sizes.append(len(data))
                 removed.append(len(data) - len(left))
-                counts.append(int(np.count_nonzero(np.diff(mask.astype(np.int8), prepend=0) == 1)))
+                counts.append(spans)
             out = [batch.column(f.name) for f in rest]
             out += [pa.array(kept, pa.binary()), *(pa.array(x, pa.int64()) for x in (sizes, removed, counts))]
             yield pa.RecordBatch.from_arrays(out, names=[f.name for f in rest] + ["kept", "n_bytes", "n_removed", "n_spans"])
