@@ -147,7 +147,7 @@ def _dump_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
 
 def _split_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     path = new_folder(spark, "split")
-    split_text(to_message_json(matches(spark, folder)), path, lines_per_file=1000)
+    split_text(to_message_json(matches(spark, folder)), path, lines_per_file=50)
     return _flat(parse_matches(spark.read.text(path)))
 
 

@@ -56,10 +56,23 @@ def run_monthly_users(tables: Tables, month: str, method: str = "exact") -> None
     tables.upsert("monthly_active_users", users)
 
 
+FACTS = ("player_match", "daily_player")
+DATE = ["year", "month", "day"]
+
+
 def pending_dates(tables: Tables, job: str = JOB, after: str | None = None) -> DataFrame:
-    """Closed days (those with a hero win rate) that ``job`` has not logged yet."""
+    """Closed days (those with a hero win rate) that ``job`` must do, with the newest batch of their facts.
+
+    Facts and hero windows come from separate streams, so a day can close before its facts are there, and late
+    facts can follow. A day is pending until it is logged, and again when a newer batch of facts has arrived.
+    """
     done = tables.read("processed_dates", F.col("job") == job)
-    return new_dates(tables.dates("hero_win_rate"), done, after)
+    closed = new_dates(tables.dates("hero_win_rate"), done.limit(0), after)
+    facts = tables.newest_batches(FACTS[0]).unionByName(tables.newest_batches(FACTS[1]))
+    newest = facts.groupBy(*DATE).agg(F.max("batch").alias("batch"))
+    logged = done.select(*DATE, F.coalesce("batch", F.lit(-1)).alias("seen"))
+    states = closed.join(newest, DATE, "left").join(logged, DATE, "left").withColumn("batch", F.coalesce("batch", F.lit(-1)))
+    return states.where(F.col("seen").isNull() | (F.col("batch") > F.col("seen"))).select(*DATE, "batch")
 
 
 def refresh_activity(
@@ -67,34 +80,38 @@ def refresh_activity(
 ) -> list[Day]:
     """Bring player totals, daily users and monthly users up to date; returns the days done.
 
-    All pending days are computed in one pass per table. The days are logged last, so a run that
-    stops early is simply repeated. With ``sketches``, months are estimated by merging stored daily
-    sketches instead of counting the month's rows again.
+    All pending days are computed in one pass per table. The days are logged last, with the newest batch that
+    was there before their facts were read, so a run that stops early is repeated and later facts open the
+    day again. With ``sketches``, months are estimated by merging stored daily sketches; days of these months
+    without one get it first.
     """
     pending = pending_dates(tables, after=after)
     if first_only:
-        pending = next_date(pending)
+        pending = pending.join(next_date(pending), DATE, "left_semi")
     # Dates only: at most one small row per calendar day.
-    days = sorted((r.year, r.month, r.day) for r in pending.collect())
+    batch_of = {(r.year, r.month, r.day): r.batch for r in pending.collect()}
+    days = sorted(batch_of)
     if not days:
         return []
     months = sorted({day[:2] for day in days})
     tables.upsert("player_daily", activity.player_daily(tables.read("player_match", in_days(days))))
-    users = tables.read("daily_player", in_days(days))
-    tables.upsert("daily_active_users", activity.active_users(users))
+    tables.upsert("daily_active_users", activity.active_users(tables.read("daily_player", in_days(days))))
+    monthly_rows = tables.read("daily_player", in_months(months))
     if sketches:
-        tables.upsert("daily_user_sketch", activity.user_sketches(users))
+        # Stored sketches of other days stay, those of pending days and missing ones are made.
+        stored = tables.read("daily_user_sketch", in_months(months) & ~in_days(days)).select(*DATE)
+        tables.upsert("daily_user_sketch", activity.user_sketches(monthly_rows.join(stored, DATE, "left_anti")))
         merged = activity.merge_sketches(tables.read("daily_user_sketch", in_months(months)), activity.MONTH)
         monthly = activity.sketch_counts(merged)
     else:
-        monthly = activity.active_users(tables.read("daily_player", in_months(months)), activity.MONTH)
+        monthly = activity.active_users(monthly_rows, activity.MONTH)
     tables.upsert("monthly_active_users", monthly)
-    logged = tables.spark.createDataFrame([(JOB, *day) for day in days], "job string, year int, month int, day int")
+    rows = [(JOB, *day, batch_of[day]) for day in days]
+    logged = tables.spark.createDataFrame(rows, "job string, year int, month int, day int, batch long")
     tables.upsert("processed_dates", logged)
     return days
 
 
-
 def compact_days(tables: Tables, days: list[Day]) -> None:
     """Merge the many small micro-batch folders of closed days."""
     for name in STREAM_TABLES:

@@ -139,7 +139,7 @@ _TABLES = (
     ),
     _table(
         "processed_dates",
-        "job string, year int, month int, day int",
+        "job string, year int, month int, day int, batch bigint",
         "job year month day",
         "job",
     ),

@@ -56,6 +56,10 @@ class Tables:
         """Distinct dates present in a table partitioned by day."""
         return self._scan(name).select("year", "month", "day").distinct()
 
+    def newest_batches(self, name: str) -> DataFrame:
+        """Dates present in a stream table with the highest batch number of each; no data column is read."""
+        return self._scan(name).groupBy("year", "month", "day").agg(F.max("batch").alias("batch"))
+
     def _scan(self, name: str) -> DataFrame:
         table = S.TABLES[name]
         schema = table.schema

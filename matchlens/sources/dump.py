@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from matchlens import schema as S
 from matchlens.functions.columns import flag
 
-CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "mode": "PERMISSIVE"}
+# A header line has no numeric match id and goes like any line without one, so parts of a split dump need no header.
+CSV_OPTIONS = {"header": "false", "quote": '"', "escape": '"', "mode": "PERMISSIVE"}
 
 
 def read_dump_lines(spark: SparkSession, path: str) -> DataFrame:

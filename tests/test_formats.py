@@ -11,7 +11,7 @@ from matchlens import schema as S
 from matchlens.functions.columns import date_text
 from matchlens.operators.validate import drop_malformed, valid_matches
 from matchlens.session import checkpoint_dir, folder_names, new_folder, stage
-from matchlens.sinks.exports import to_bare_json, to_dump_rows, to_message_json, write_dump
+from matchlens.sinks.exports import split_text, to_bare_json, to_dump_rows, to_message_json, write_dump
 from matchlens.sinks.messages import win_rate_messages
 from matchlens.sources.clusters import read_clusters, read_ranges
 from matchlens.sources.dump import read_dump
@@ -89,6 +89,12 @@ def test_bare_json_layout(spark):
     assert '"' not in text and "radiant_win:f," in text
 
 
+def test_parts_of_a_split_dump_need_no_header(spark, tmp_path):
+    text = spark.createDataFrame([(x,) for x in (HEADER, *map(dump_line, range(1, 8)))], "value string").coalesce(1)
+    split_text(text, str(tmp_path / "parts"), 3)
+    assert sorted(r["match_id"] for r in read_dump(spark, str(tmp_path / "parts")).collect()) == list(range(1, 8))
+
+
 def test_dump_layout(spark, tmp_path):
     matches = frame(spark, *[match(i, win=i % 2 == 0) for i in range(25)])
     assert to_dump_rows(matches).columns == S.DUMP.fieldNames()

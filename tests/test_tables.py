@@ -153,8 +153,28 @@ def test_refresh_processes_new_closed_days(spark, tables):
     both = daily.where("account_id = 1005 AND day = 1").first()
     assert (both["matches_played"], both["matches_won"], both["time_played_in_sec"]) == (2, 1, 3600)
     assert [r["minutes"] for r in serving.account_activity(daily, 2000).collect()] == [20.0]
-    # Sketches exist for the third day only, so the merged month covers just that day.
-    assert rows_of(tables.read("monthly_active_users")) == [(2024, 1, 10)]
+    # The first two days had no sketch yet; the merged month covers all three.
+    assert rows_of(tables.read("monthly_active_users")) == [(2024, 1, 25)]
+
+
+def test_refresh_waits_for_lagging_facts(spark, tables):
+    closed_days(tables, 1, 2)
+    jobs.refresh_activity(tables)
+    append_matches(tables, 0, match(1))
+    append_matches(tables, 1, match(3, start=START + DAY, team=players(accounts=range(2000, 2010))))
+    assert jobs.refresh_activity(tables) == [(2024, 1, 1), (2024, 1, 2)]
+    assert rows_of(tables.read("daily_active_users")) == [(2024, 1, 1, 10), (2024, 1, 2, 10)]
+    assert jobs.refresh_activity(tables) == []
+
+
+def test_late_facts_open_a_logged_day_again(spark, tables):
+    append_matches(tables, 0, match(1))
+    closed_days(tables, 1)
+    assert jobs.refresh_activity(tables) == [(2024, 1, 1)]
+    append_matches(tables, 1, match(2, start=START + 3600, team=players(accounts=range(1005, 1015))))
+    assert jobs.refresh_activity(tables) == [(2024, 1, 1)]
+    assert rows_of(tables.read("daily_active_users")) == [(2024, 1, 1, 15)]
+    assert rows_of(tables.read("monthly_active_users")) == [(2024, 1, 15)]
 
 
 def test_jobs_by_date(spark, tables):
