@@ -20,12 +20,19 @@ BLANKS = " \t\n\x0b\x0c\r"
 ROOT = Path(__file__).parents[2]
 
 
+ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH_BYTES = 8 << 20
+
+
 def ship(spark: SparkSession) -> None:
     """Make the package importable in the Python workers, unless their search path holds it already.
 
-    Workers then import it once and keep its word caches between tasks.
+    Workers then import it once and keep its word caches between tasks. Batches sent to them are kept small in bytes,
+    since some texts are very long.
     """
     context = spark.sparkContext
+    if int(spark.conf.get(ARROW_BYTES).rstrip("b")) > BATCH_BYTES:
+        spark.conf.set(ARROW_BYTES, str(BATCH_BYTES))
     on_path = str(ROOT) in os.environ.get("PYTHONPATH", "").split(os.pathsep)
     if (on_path and context.master.startswith("local")) or getattr(context, "_matchlens_shipped", False):
         return
