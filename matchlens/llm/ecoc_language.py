@@ -88,6 +88,7 @@ def gram_sums(texts: list[str], weights: np.ndarray) -> tuple[np.ndarray, np.nda
     """(sum of the weights of all n-grams, number of n-grams) of each text."""
     sums = np.zeros((len(texts), weights.shape[1]))
     totals = np.zeros(len(texts), dtype=np.int64)
+    columns = np.ascontiguousarray(weights.T, dtype=np.float64)
     for letters, starts, owners in _slices(texts):
         for at, buckets in _grams(letters):
             if not len(at):
@@ -95,7 +96,8 @@ def gram_sums(texts: list[str], weights: np.ndarray) -> tuple[np.ndarray, np.nda
             edges = np.searchsorted(at, starts)
             ends = np.append(edges[1:], len(at))
             some = ends > edges
-            np.add.at(sums, owners[some], np.add.reduceat(weights[buckets], edges[some], axis=0))
+            for bit, column in enumerate(columns):
+                np.add.at(sums[:, bit], owners[some], np.add.reduceat(column[buckets], edges[some]))
             np.add.at(totals, owners, ends - edges)
     return sums, totals
 
