@@ -27,10 +27,14 @@ def drop_malformed(parsed: DataFrame, observation: Observation | str | None = No
 
     The counts come out as ``malformed`` and ``total``, from the same pass over the data.
     """
-    bad = F.col("match_id").isNull()
     if observation is not None:
-        parsed = parsed.observe(observation, F.count_if(bad).alias("malformed"), F.count(F.lit(1)).alias("total"))
-    return parsed.where(~bad)
+        parsed = parsed.observe(observation, *parse_counts())
+    return parsed.where(~F.col("match_id").isNull())
+
+
+def parse_counts() -> list[Column]:
+    """Aggregates over parsed rows: those without a match id, and all."""
+    return [F.count_if(F.col("match_id").isNull()).alias("malformed"), F.count(F.lit(1)).alias("total")]
 
 
 def public_accounts(player_rows: DataFrame) -> DataFrame:

@@ -122,9 +122,14 @@ def best_opponents(matches: DataFrame, k: int = 5, min_played: int = 1) -> DataF
 def live_win_rate(results: DataFrame, keys: Sequence[str], size: int, order: Sequence[str]) -> DataFrame:
     """Win rate of each key over its newest ``size`` results.
 
-    The rank filter is pushed below the shuffle as a per-task group limit, so each map task sends at
-    most ``size`` rows per key however hot the key is.
+    A key's results are first dealt over blocks and each block keeps its newest ``size``; only those meet in
+    one task. So a hot key is sorted by many tasks, whatever ``size`` is.
     """
-    newest = Window.partitionBy(*keys).orderBy(*[F.col(c).desc() for c in order])
-    recent = results.withColumn("_rank", F.row_number().over(newest)).where(F.col("_rank") <= size)
+    newest_first = [F.col(c).desc() for c in order]
+    blocks = int(results.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = results.withColumn("_block", F.pmod(F.xxhash64(*order), F.lit(blocks)))
+    recent = dealt
+    for group in ([*keys, "_block"], [*keys]):
+        rank = F.row_number().over(Window.partitionBy(*group).orderBy(*newest_first))
+        recent = recent.withColumn("_rank", rank).where(F.col("_rank") <= size)
     return recent.groupBy(*keys).agg(*win_rate_columns())

@@ -151,16 +151,77 @@ def _split_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     return _flat(parse_matches(spark.read.text(path)))
 
 
-def _run_stream(spark: SparkSession, folder: str, *names: str) -> tuple[Tables, str]:
-    """Write the matches as message files and run the named live queries over them to the end."""
-    root = new_folder(spark, "live")
-    to_message_json(matches(spark, folder)).write.text(f"{root}/in")
+def _send(messages: DataFrame, root: str) -> None:
+    messages.write.mode("append").text(f"{root}/in")
+
+
+def _live(spark: SparkSession, root: str, *names: str, files_per_batch: int | None = None) -> Tables:
+    """Run the named live queries over the message files below ``root`` to the end, from where they stopped."""
     tables = Tables(spark, f"{root}/tables")
-    lines = read_text_stream(spark, f"{root}/in")
+    lines = read_text_stream(spark, f"{root}/in", files_per_batch)
     writers = pipeline.live_writers(lines, tables, root, f"{root}/checkpoints")
     for query in pipeline.start({name: writers[name] for name in names}, interval=None):
         query.awaitTermination()
-    return tables, root
+    return tables
+
+
+def _run_stream(spark: SparkSession, folder: str, *names: str) -> tuple[Tables, str]:
+    """Write the matches as message files and run the named live queries over them to the end."""
+    root = new_folder(spark, "live")
+    _send(to_message_json(matches(spark, folder)), root)
+    return _live(spark, root, *names), root
+
+
+def _lagging_facts(spark: SparkSession, folder: str) -> DataFrame:
+    """Hero days close and a refresh runs before the facts arrive; the next refresh has them."""
+    root = new_folder(spark, "live")
+    _send(to_message_json(matches(spark, folder)), root)
+    jobs.refresh_activity(_live(spark, root, "hero_days"))
+    tables = _live(spark, root, "facts")
+    jobs.refresh_activity(tables)
+    return tables.read("player_daily")
+
+
+def _late_facts(spark: SparkSession, folder: str) -> DataFrame:
+    """A third of the matches arrives after their days were refreshed."""
+    root, all_matches = new_folder(spark, "live"), matches(spark, folder)
+    _send(to_message_json(all_matches.where("match_id % 3 <> 0")), root)
+    jobs.refresh_activity(_live(spark, root, "facts", "hero_days"))
+    _send(to_message_json(all_matches.where("match_id % 3 = 0")), root)
+    tables = _live(spark, root, "facts")
+    jobs.refresh_activity(tables)
+    return tables.read("player_daily")
+
+
+def _malformed(spark: SparkSession, folder: str) -> DataFrame:
+    """Every match with its text, and of some also the first half of it, over four micro-batches and more."""
+    root = new_folder(spark, "live")
+    lines = to_message_json(matches(spark, folder))
+    cut = lines.where(F.get_json_object("value", "$.match_id").cast("long") % 7 == 0)
+    cut = cut.select(F.expr("left(value, length(value) div 2)").alias("value"))
+    _send(lines.select("value").unionByName(cut).repartition(4), root)
+    _live(spark, root, "facts", files_per_batch=1)
+    return pipeline.parse_totals(spark, root)
+
+
+def _with_bad_messages(m: DataFrame) -> DataFrame:
+    """Live values from messages of which each also comes with a part too many and a part too few."""
+    good = _messages(m)
+    longer = good.withColumn("value", F.concat("value", F.lit(",1")))
+    shorter = good.withColumn("value", F.regexp_replace("value", ",[^,]*$", ""))
+    everything = good.unionByName(longer).unionByName(shorter)
+    return latest_values(parse_win_rate_messages(everything)).select("key", "value")
+
+
+def _close_orders(spark: SparkSession, folder: str) -> DataFrame:
+    """Distinct orders shipped in each year, enough for estimates, from one pass."""
+    items = spark.read.parquet(f"{folder}/lineitem.parquet")
+    year = F.year(F.to_date("l_shipdate")).alias("year")
+    counts = items.groupBy(year).agg(
+        F.count_distinct("l_orderkey").alias("num"),
+        F.hll_sketch_estimate(F.hll_sketch_agg("l_orderkey", S.SKETCH_BITS)).alias("estimate"),
+    )
+    return counts.select("year", "num", (F.abs(F.col("estimate") - F.col("num")) <= F.col("num") * 0.05).alias("close"))
 
 
 def _stream_hero_days(spark: SparkSession, folder: str) -> DataFrame:
@@ -290,6 +351,12 @@ def catalog() -> dict[str, Query]:
         "stream_live_values": _stream_live,
         "stream_player_match": _stream_player_match,
         "stream_match_simple": _stream_simple,
+        "live_lookup": _on_matches(lambda m: serving.live_rate(_live_from_messages(m), "1")),
+        "bad_messages_ignored": _on_matches(_with_bad_messages),
+        "orders_hll_close": _close_orders,
+        "malformed_lines": _malformed,
+        "refresh_after_lagging_facts": _lagging_facts,
+        "refresh_with_late_facts": _late_facts,
         "refresh_player_daily": _refreshed("player_daily"),
         "refresh_daily_users": _refreshed("daily_active_users"),
         "refresh_monthly_users": _refreshed("monthly_active_users"),

@@ -47,9 +47,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+def _own_folder(spark: SparkSession) -> str:
+    """Where this application stages its tables; others may share the folder above."""
+    return f"{checkpoint_dir(spark)}/{STAGE_FOLDER}/{spark.sparkContext.applicationId}"
+
+
 def new_folder(spark: SparkSession, label: str) -> str:
     """An unused path for an intermediate table in the shared folder."""
-    return f"{checkpoint_dir(spark)}/{STAGE_FOLDER}/{label}-{uuid.uuid4().hex}"
+    return f"{_own_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
 def stage(df: DataFrame, label: str, folder: str | None = None) -> DataFrame:
@@ -88,5 +93,5 @@ def folder_names(spark: SparkSession, path: str) -> list[str]:
 
 
 def drop_staged(spark: SparkSession) -> None:
-    """Delete all intermediate tables; DataFrames that read them become unusable."""
-    delete_path(spark, f"{checkpoint_dir(spark)}/{STAGE_FOLDER}")
+    """Delete all intermediate tables of this application; DataFrames that read them become unusable."""
+    delete_path(spark, _own_folder(spark))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import hashlib
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,14 +10,12 @@ from pyspark.sql import types as T
 
 from matchlens import schema as S
 from matchlens.operators.keyed import newest_rows
-from matchlens.session import checkpoint_dir, delete_path, folder_names, path_exists
+from matchlens.session import delete_path, folder_names, path_exists, stage
 
 # Written by streams: every micro-batch adds its own folder and readers take the newest row per key.
 STREAM_TABLES = ("hero_win_rate", "region_num_of_players", "player_match", "daily_player")
 # Stream tables number the folder of micro-batch n as n times this; compaction uses numbers between.
 BATCH_STEP = 1000
-# More touched partitions than this are found by a semi-join instead of a literal filter.
-MAX_LISTED_PARTITIONS = 10_000
 
 
 class Tables:
@@ -109,20 +107,26 @@ class Tables:
         """Insert or replace rows by key in a batch table; one writer at a time.
 
         The merged partitions are staged first and then replace the old ones. If a run stops during
-        the replacement, the finished copy is still there and the next upsert repeats it first, so no
-        old row is lost.
+        the replacement, the finished copy is still there, below the root, and the next upsert of any
+        session repeats it first, so no old row is lost. Of several incoming rows of one key the one with the
+        greatest values stays. ``rows`` is evaluated once.
         """
         table = S.TABLES[name]
         self.finish_upsert(name)
-        incoming = _conform(rows, table).withColumn("_new", F.lit(1))
-        existing = self._touched(name, incoming).withColumn("_new", F.lit(0))
-        merged = newest_rows(existing.unionByName(incoming), table.key, ["_new"]).drop("_new")
-        merged.write.mode("overwrite").parquet(self._staged(name))
+        folder = f"{self.root}/_incoming/{uuid.uuid4().hex}"
+        try:
+            incoming = stage(_conform(rows, table), name, folder)
+            existing = self._touched(name, incoming).withColumn("_new", F.lit(0))
+            both = existing.unionByName(incoming.withColumn("_new", F.lit(1)))
+            values = [c for c in table.schema.fieldNames() if c not in table.key]
+            merged = newest_rows(both, table.key, ["_new", *values]).drop("_new")
+            merged.write.mode("overwrite").parquet(self._staged(name))
+        finally:
+            delete_path(self.spark, folder)
         self.finish_upsert(name)
 
     def _staged(self, name: str) -> str:
-        root = hashlib.sha256(self.root.encode()).hexdigest()[:16]
-        return f"{checkpoint_dir(self.spark)}/upserts/{root}/{name}"
+        return f"{self.root}/_upserts/{name}"
 
     def finish_upsert(self, name: str) -> None:
         """Replace partitions from a finished staged copy, if there is one."""
@@ -134,20 +138,18 @@ class Tables:
             delete_path(self.spark, staged)
 
     def _touched(self, name: str, incoming: DataFrame) -> DataFrame:
-        """Existing rows of the partitions that ``incoming`` falls into."""
+        """Existing rows of the partitions that ``incoming`` falls into.
+
+        The first and last partition, one row for the driver, prune folders; a semi-join finds the exact ones.
+        """
         columns = list(S.TABLES[name].partition_by)
-        rows = self._scan(name)
-        parts = incoming.select(*columns).distinct()
-        listed = parts.limit(MAX_LISTED_PARTITIONS + 1).collect()
-        if len(listed) > MAX_LISTED_PARTITIONS:
-            return rows.join(parts, columns, "left_semi")
-        if not listed:
-            return rows.where(F.lit(False))
-        # The leading column alone already prunes folders; the exact combinations follow.
-        combination = F.struct(*[F.col(c) for c in columns])
-        wanted = [F.struct(*[F.lit(v) for v in part]) for part in listed]
-        first = sorted({part[0] for part in listed})
-        return rows.where(F.col(columns[0]).isin(first)).where(combination.isin(wanted))
+        place = F.struct(*columns)
+        ends = incoming.agg(F.min(place).alias("first"), F.max(place).alias("last")).first()
+        if ends["first"] is None:
+            return self._scan(name).where(F.lit(False))
+        first, last = (F.struct(*[F.lit(v).alias(c) for c, v in zip(columns, ends[end])]) for end in ("first", "last"))
+        rows = self._scan(name).where((place >= first) & (place <= last))
+        return rows.join(incoming.select(*columns).distinct(), columns, "left_semi").select(*rows.columns)
 
     def _write(self, rows: DataFrame, name: str, partition_by: tuple[str, ...]) -> None:
         """Replace the partitions present in ``rows``.

@@ -77,14 +77,16 @@ def process_batch(
     """
     spark = batch.sparkSession
     folder = new_folder(spark, "micro-batch")
-    results = keyed_results(chunk_matches(batch, folder=folder), kinds, size)
-    state = open_windows(spark, root)
-    touched = stage(advance(results, state.before(batch_id)), "windows", folder)
-    state.write(touched.where(F.col("played") < F.col("size")).select(*STATE_COLUMNS), batch_id)
-    messages = win_rate_messages(oriented_windows(full_windows(touched), kinds))
-    update_live_values(messages, batch_id, root)
-    send(messages, batch_id)
-    delete_path(spark, folder)
+    try:
+        results = keyed_results(chunk_matches(batch, folder=folder), kinds, size)
+        state = open_windows(spark, root)
+        touched = stage(advance(results, state.before(batch_id)), "windows", folder)
+        state.write(touched.where(F.col("played") < F.col("size")).select(*STATE_COLUMNS), batch_id)
+        messages = stage(win_rate_messages(oriented_windows(full_windows(touched), kinds)), "messages", folder)
+        update_live_values(messages, batch_id, root)
+        send(messages, batch_id)
+    finally:
+        delete_path(spark, folder)
 
 
 def update_live_values(messages: DataFrame, batch_id: int, root: str) -> None:

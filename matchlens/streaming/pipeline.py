@@ -11,13 +11,14 @@ and checkpoint, so that a slow one holds back no other:
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from matchlens import schema as S
 from matchlens.operators.expand import daily_player_rows, match_simple, player_match_rows
 from matchlens.operators.keyed import newest_rows
-from matchlens.operators.validate import drop_malformed, valid_matches
+from matchlens.operators.validate import drop_malformed, parse_counts, valid_matches
 from matchlens.sinks.tables import Tables
 from matchlens.sources.messages import parse_matches
 from matchlens.streaming.count_windows import count_window_writer
@@ -31,6 +32,7 @@ from matchlens.streaming.windows import (
 )
 
 PARSE_METRICS = "parse"
+PARSE_COUNTS = "parse-counts"
 
 
 def parsed_matches(lines: DataFrame, metrics: str | None = None) -> DataFrame:
@@ -38,22 +40,28 @@ def parsed_matches(lines: DataFrame, metrics: str | None = None) -> DataFrame:
     return valid_matches(drop_malformed(parse_matches(lines), metrics))
 
 
-def facts_writer(matches: DataFrame, tables: Tables, text_path: str, checkpoint: str) -> DataStreamWriter:
-    """Stateless outputs of each micro-batch, from one evaluation of the source.
+def facts_writer(
+    parsed: DataFrame, tables: Tables, text_path: str, checkpoint: str, counts_path: str | None = None
+) -> DataStreamWriter:
+    """Stateless outputs of each micro-batch of parsed lines, from one evaluation of the source.
 
-    Every output goes to a folder named by the batch, so a repeated batch replaces its own rows.
+    Every output goes to a folder named by the batch, so a repeated batch replaces its own rows. With
+    ``counts_path`` the numbers of malformed and all lines are kept there for each batch.
     """
 
-    def run(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
+    def run(lines: DataFrame, batch_id: int) -> None:
+        lines.persist()
         try:
+            if counts_path:
+                lines.agg(*parse_counts()).write.mode("overwrite").json(f"{counts_path}/batch={batch_id}")
+            batch = valid_matches(drop_malformed(lines))
             match_simple(batch).select("value").write.mode("overwrite").text(f"{text_path}/batch={batch_id}")
             for name, rows in (("player_match", player_match_rows(batch)), ("daily_player", daily_player_rows(batch))):
                 tables.append(name, newest_rows(rows, S.TABLES[name].key, ["match_id", "slot"]), batch_id)
         finally:
-            batch.unpersist()
+            lines.unpersist()
 
-    return matches.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
+    return parsed.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
 
 
 def table_writer(rows: DataFrame, tables: Tables, name: str, checkpoint: str) -> DataStreamWriter:
@@ -87,7 +95,11 @@ def live_writers(
     counted = timed(match_delay).drop("ts") if drop_replays else matches
     return {
         "facts": facts_writer(
-            parsed_matches(lines, PARSE_METRICS), tables, f"{root}/{S.SIMPLE_TOPIC}", f"{checkpoints}/facts"
+            parse_matches(lines).observe(PARSE_METRICS, *parse_counts()),
+            tables,
+            f"{root}/{S.SIMPLE_TOPIC}",
+            f"{checkpoints}/facts",
+            f"{root}/{PARSE_COUNTS}",
         ),
         "hero_days": table_writer(heroes, tables, "hero_win_rate", f"{checkpoints}/hero_days"),
         "cluster_days": table_writer(clusters, tables, "region_num_of_players", f"{checkpoints}/cluster_days"),
@@ -110,6 +122,12 @@ def malformed_lines(query: StreamingQuery) -> int:
     return sum(o["malformed"] for o in observed if o)
 
 
+def parse_totals(spark: SparkSession, root: str) -> DataFrame:
+    """``malformed`` and ``total`` lines over all micro-batches so far, restarts included, each batch once."""
+    counts = spark.read.schema("malformed long, total long").json(f"{root}/{PARSE_COUNTS}")
+    return counts.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("malformed", "total")])
+
+
 def late_rows(query: StreamingQuery) -> int:
     """Rows that stateful operators dropped as too late over the recent micro-batches.
 

@@ -221,6 +221,13 @@ def oracle_sql() -> dict[str, str]:
     ORDER BY CAST(l_shipdate AS DATE) DESC, l_partkey DESC, l_suppkey DESC) = 1""",
         "win_rate_messages": _matches("SELECT topic, value FROM messages", WINDOWS),
         "live_win_rate_latest": _matches(_LATEST, WINDOWS),
+        "live_lookup": _matches(f"SELECT * FROM ({_LATEST}) WHERE key = '1'", WINDOWS),
+        "bad_messages_ignored": _matches(_LATEST, WINDOWS),
+        "orders_hll_close": """SELECT CAST(year(CAST(l_shipdate AS DATE)) AS INTEGER) AS year,
+  count(DISTINCT l_orderkey) AS num, true AS close FROM lineitem GROUP BY ALL""",
+        "malformed_lines": _matches(
+            "SELECT count(*) FILTER (match_id % 7 = 0) AS malformed, count(*) + count(*) FILTER (match_id % 7 = 0) AS total FROM v"
+        ),
         "dump_roundtrip": _matches(_FLAT),
         "json_roundtrip": _matches(_FLAT),
         "bare_json_roundtrip": _matches(_FLAT),
@@ -254,6 +261,12 @@ def oracle_sql() -> dict[str, str]:
     sql["refresh_player_daily"] = _matches(
         f"SELECT {_PLAYER_DAILY} FROM pm JOIN closed USING (year, month, day) GROUP BY ALL", closed
     )
+    sql["refresh_after_lagging_facts"] = sql["refresh_player_daily"]
+    early = f"""{PLAYER_MATCH}, early AS (SELECT * FROM v WHERE match_id % 3 <> 0), closed AS (
+  SELECT DISTINCT {STARTED} FROM early WHERE {_CLOSED.format(90).replace("FROM v", "FROM early")})"""
+    sql["refresh_with_late_facts"] = _matches(
+        f"SELECT {_PLAYER_DAILY} FROM pm JOIN closed USING (year, month, day) GROUP BY ALL", early
+    )
     sql["refresh_daily_users"] = _matches(
         "SELECT year, month, day, count(DISTINCT account_id) AS num FROM pm JOIN closed USING (year, month, day) GROUP BY ALL",
         closed,

@@ -12,7 +12,8 @@ QUERIES, SQL = catalog(), oracle_sql()
 # Too few rows per key for full count windows in the smallest tables.
 NEED_MEDIUM = {
     "hero_count_window", "pair_count_window", "counter_count_window", "win_rate_messages",
-    "live_win_rate_latest", "stream_messages", "stream_live_values",
+    "live_win_rate_latest", "stream_messages", "stream_live_values", "live_lookup", "bad_messages_ignored",
+    "orders_hll_close",
 }
 
 

@@ -92,6 +92,18 @@ def test_malformed_lines_are_reported(spark, tmp_path):
     assert pipeline.malformed_lines(query) == 2
 
 
+def test_malformed_totals_outlive_restarts(spark, tmp_path, live):
+    """Totals come from a table by batch, not from the few progress entries that a query retains."""
+    source = tmp_path / "in"
+    put(source, "a.txt", bare_text(1), "broken", age=50)
+    put(source, "b.txt", "broken", "{}", age=40)
+    live(names=["facts"])
+    put(source, "c.txt", bare_text(2), "broken", age=30)
+    live(names=["facts"])
+    totals = pipeline.parse_totals(spark, str(tmp_path / "out")).first()
+    assert (totals["malformed"], totals["total"]) == (4, 6)
+
+
 def test_late_matches_are_dropped(spark, tmp_path, live):
     source = tmp_path / "in"
     put(source, "a.txt", bare_text(1, start=START + 100), age=50)

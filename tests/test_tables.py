@@ -37,9 +37,17 @@ def test_upsert_replaces_by_key_and_keeps_the_rest(spark, tables):
     assert rows_of(tables.read("daily_active_users")) == before
 
 
-def test_upsert_beyond_the_listed_partitions(spark, tables, monkeypatch):
-    monkeypatch.setattr(tables_module, "MAX_LISTED_PARTITIONS", 1)
-    test_upsert_replaces_by_key_and_keeps_the_rest(spark, tables)
+def test_upsert_of_one_key_twice_keeps_the_greatest(spark, tables):
+    for num in (5, 9):
+        tables.upsert("daily_active_users", spark.createDataFrame([(2024, 1, 1, num), (2024, 1, 1, 7)], DAU))
+        assert rows_of(tables.read("daily_active_users")) == [(2024, 1, 1, max(num, 7))]
+    tables.upsert("daily_active_users", spark.createDataFrame([], DAU))
+    assert rows_of(tables.read("daily_active_users")) == [(2024, 1, 1, 9)]
+
+
+def test_upsert_leaves_no_staged_rows(spark, tables, tmp_path):
+    tables.upsert("daily_active_users", spark.createDataFrame([(2024, 1, 1, 5)], DAU))
+    assert not [p for p in (tmp_path / "tables").rglob("*.parquet") if "daily_active_users/year=" not in str(p)]
 
 
 def test_upsert_touches_only_its_partitions(spark, tables, tmp_path):
@@ -64,7 +72,9 @@ def test_interrupted_upsert_is_finished_later(spark, tables, monkeypatch):
         with pytest.raises(RuntimeError):
             tables.upsert("daily_active_users", spark.createDataFrame([(2024, 1, 2, 60)], DAU))
     assert tables.read("daily_active_users").where("month = 1").count() == 0
-    tables.upsert("daily_active_users", spark.createDataFrame([(2024, 1, 3, 7)], DAU))
+    # Another session knows only the root.
+    later = Tables(spark.newSession(), tables.root)
+    later.upsert("daily_active_users", spark.createDataFrame([(2024, 1, 3, 7)], DAU))
     assert rows_of(tables.read("daily_active_users")) == [(2024, 1, 1, 5), (2024, 1, 2, 60), (2024, 1, 3, 7)]
 
 
