@@ -34,7 +34,9 @@ MIN_SHARE = 0.004
 MIN_DOCS = 3
 MIN_LOG_ODDS = 2.0
 MAX_PATTERNS = 50_000
+LEXICON_ROWS = 200_000
 FIT_ROWS = 20_000
+SHARES = 1 << 30
 FLUSH = 200_000
 CACHED_WORDS = 300_000
 FEATURES = ("plain_max", "plain_sum", "plain_clauses", "denied", "reported", "aimed", "threat", "hits")
@@ -176,20 +178,38 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int =
     return w
 
 
-def score(docs: DataFrame, labels: DataFrame, folds: int = 5, held_fold: int = 0, fit_rows: int = FIT_ROWS) -> DataFrame:
+def sampled_labels(labels: DataFrame, rows: int) -> tuple[DataFrame, int]:
+    """About ``rows`` labels (doc_id, toxic, share), all if there are fewer, and the number of labels before.
+
+    ``share`` is a hash of the id, even over [0, SHARES); a sample holds the labels below a limit. Ids are
+    distinct, so its size strays from ``rows`` by a few square roots of it, and it may be broadcast.
+    """
+    known = labels.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
+    known = known.withColumn("share", F.pmod(F.xxhash64("doc_id"), F.lit(SHARES)))
+    found = known.count()
+    return stage(known.where(F.col("share") < share_of(rows, found)), "labels"), found
+
+
+def share_of(rows: int, found: int) -> int:
+    return SHARES if found <= rows else SHARES * rows // found
+
+
+def score(
+    docs: DataFrame, labels: DataFrame, folds: int = 5, held_fold: int = 0, lexicon_rows: int = LEXICON_ROWS, fit_rows: int = FIT_ROWS
+) -> DataFrame:
     """doc_id, held_out, score, predicted for every row of ``docs`` (doc_id, text).
 
     ``labels`` (doc_id, toxic) of rows whose crc32(doc_id) mod ``folds`` is not ``held_fold`` train; null labels and labels
-    without a document are ignored. All of them give the lexicon, and the logistic model over the clause features is
-    fitted to the ``fit_rows`` of them with the smallest hash of the id. Null and empty texts have no clause; a null
-    doc_id counts as empty text in the fold and has no label. Repeated rows count each. Without labels of both kinds
-    the score is the share of toxic labels, or 0 without any.
+    without a document are ignored. About ``lexicon_rows`` of them, those with the smallest hashes of their ids, give the
+    lexicon, and the logistic model over the clause features is fitted to about ``fit_rows`` of these. Null and empty
+    texts have no clause; a null doc_id counts as empty text in the fold and has no label. Repeated rows count each.
+    Without labels of both kinds the score is the share of toxic labels, or 0 without any.
     """
-    held = (F.pmod(id_crc(), F.lit(folds)) == held_fold).alias("held_out")
-    base = docs.select("doc_id", held, text_of().alias("text"))
-    known = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
-    labelled = base.where(~F.col("held_out")).join(known, "doc_id").select("doc_id", "text", "toxic")
-    insults = learn_insults(labelled)
+    held = F.pmod(id_crc(), F.lit(folds)) == held_fold
+    base = docs.select("doc_id", held.alias("held_out"), text_of().alias("text"))
+    sample, found = sampled_labels(labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").where(~held), lexicon_rows)
+    texts = base.where(~F.col("held_out")).join(F.broadcast(sample), "doc_id").select("text", "toxic")
+    insults = learn_insults(stage(texts, "labelled"))
     id_type = base.schema["doc_id"].dataType.simpleString()
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -200,8 +220,8 @@ def score(docs: DataFrame, labels: DataFrame, folds: int = 5, held_fold: int = 0
             yield pa.RecordBatch.from_arrays([*batch.columns[:2], values], names=["doc_id", "held_out", "features"])
 
     measured = stage(base.mapInArrow(measure, f"doc_id {id_type}, held_out boolean, features array<double>"), "features")
-    train = measured.where(~F.col("held_out")).join(known, "doc_id").select("doc_id", "features", "toxic")
-    rows = train.orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows).select("features", "toxic").collect()
+    fit = F.broadcast(sample.where(F.col("share") < share_of(fit_rows, found)))
+    rows = measured.where(~F.col("held_out")).join(fit, "doc_id").select("features", "toxic").collect()
     y = np.array([r["toxic"] for r in rows], dtype=np.float64)
     if len(y) and 0 < y.sum() < len(y):
         w = fit_logistic(np.array([r["features"] for r in rows]), y)
