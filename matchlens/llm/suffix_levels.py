@@ -140,12 +140,13 @@ class SuffixFamily:
 
         A key is shared if it stands twice in the batch, or in the batch and in a level.
         """
-        own = array.groupBy("key").agg(F.sum("n").alias("n"))
-        shared = own.where("n > 1").select("key")
+        merged = array.select("key", "n", F.lit(False).alias("old"))
         for level in self.levels:
             if level is not None:
-                shared = shared.union(array.join(level.select("key"), "key", "left_semi").select("key"))
-        shared = stage(shared.distinct(), "shared")
+                merged = merged.union(level.select("key", F.lit(0).alias("n"), F.lit(True).alias("old")))
+        # Aggregation merges all levels in one pass, and copies of a hot key combine before the shuffle.
+        seen = merged.groupBy("key").agg(F.sum("n").alias("n"), F.max("old").alias("old"))
+        shared = stage(seen.where("n > 1 OR n = 1 AND old").select("key"), "shared")
         size = 0
         while size < len(self.levels) and self.levels[size] is not None:
             merged = self.levels[size].unionByName(array).groupBy("key", "digest").agg(F.sum("n").alias("n"))
