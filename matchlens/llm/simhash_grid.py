@@ -208,11 +208,3 @@ def near_classes(docs: DataFrame) -> DataFrame:
     """doc_id, fingerprint (16 hex digits), component_id."""
     digits = F.lower(F.lpad(F.hex("__fp"), 16, "0"))
     return classes(docs).select("doc_id", digits.alias("fingerprint"), F.col("__component").alias("component_id"))
-
-
-def keep_one(docs: DataFrame) -> DataFrame:
-    """One row of each class, that with the smallest doc_id, with the columns of ``docs``."""
-    rows = classes(docs, docs.columns).where(F.col("doc_id").eqNullSafe(F.col("__component")))
-    # Equal ids within a class, and classes without ids, still leave one row each.
-    lone = rows.dropDuplicates(["doc_id", "__fp"])
-    return lone.select(*docs.columns)
