@@ -15,11 +15,11 @@ from matchlens.operators.keyed import latest_values, newest_rows
 from matchlens.operators.validate import valid_matches
 from matchlens.plans import jobs, serving
 from matchlens.session import new_folder
-from matchlens.sinks.exports import split_text, to_bare_json, to_message_json, write_dump
+from matchlens.sinks.exports import split_text, to_bare_json, to_crawler_lines, to_message_json, write_dump
 from matchlens.sinks.messages import win_rate_messages
 from matchlens.sinks.tables import Tables
 from matchlens.sources.clusters import default_clusters, default_ranges
-from matchlens.sources.dump import read_dump
+from matchlens.sources.dump import dump_totals, read_dump
 from matchlens.sources.events import EPOCH_SECONDS, read_event_matches, read_events
 from matchlens.sources.messages import parse_matches, parse_win_rate_messages, read_text_stream
 from matchlens.streaming import pipeline
@@ -145,6 +145,21 @@ def _dump_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     return _flat(read_dump(spark, path))
 
 
+def _crawler_lines(spark: SparkSession, folder: str) -> DataFrame:
+    path = new_folder(spark, "crawler")
+    to_crawler_lines(matches(spark, folder)).write.text(path)
+    return _flat(read_dump(spark, path))
+
+
+def _malformed_dump(spark: SparkSession, folder: str) -> DataFrame:
+    """Every match as a crawler's line, and of some also the line without its end."""
+    path = new_folder(spark, "crawler")
+    lines = to_crawler_lines(matches(spark, folder))
+    cut = lines.where("CAST(substring_index(value, ',', 1) AS bigint) % 7 = 0").selectExpr("left(value, length(value) - 30) AS value")
+    lines.unionByName(cut).write.text(path)
+    return dump_totals(spark, path)
+
+
 def _split_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     path = new_folder(spark, "split")
     split_text(to_message_json(matches(spark, folder)), path, lines_per_file=50)
@@ -341,6 +356,8 @@ def catalog() -> dict[str, Query]:
         "win_rate_messages": _on_matches(lambda m: _messages(m).select("topic", "value")),
         "live_win_rate_latest": _on_matches(_live_from_messages),
         "dump_roundtrip": _dump_roundtrip,
+        "crawler_lines": _crawler_lines,
+        "malformed_dump_lines": _malformed_dump,
         "json_roundtrip": _on_matches(lambda m: _flat(parse_matches(to_message_json(m)))),
         "bare_json_roundtrip": _on_matches(lambda m: _flat(parse_matches(to_bare_json(to_message_json(m))))),
         "split_roundtrip": _split_roundtrip,

@@ -53,6 +53,17 @@ def write_dump(matches: DataFrame, path: str, lines_per_file: int | None = None)
     writer.csv(path)
 
 
+def to_crawler_lines(matches: DataFrame) -> DataFrame:
+    """Matches as the crawler's lines (column ``value``): bare players' text, a comma after each player, an empty line."""
+    player = '""%d"":{""account_id"":%d,""hero_id"":%d,""player_slot"":%d},'
+    texts = F.transform("players", lambda p: F.format_string(player, p["player_slot"], p["account_id"], p["hero_id"], p["player_slot"]))
+    flag = F.when(F.col("radiant_win"), "True").otherwise("False")
+    kept = [flag if f.name == "radiant_win" else F.coalesce(_or_null(matches, f).cast("string"), F.lit("None")) for f in S.DUMP_COLUMNS.fields]
+    empty = [F.lit("") for _ in S.DUMP_IGNORED]
+    group = F.concat(F.lit("{"), F.concat_ws("", texts), F.lit("}\n"))
+    return matches.select(F.concat_ws(",", *kept, *empty, group).alias("value"))
+
+
 def split_text(lines: DataFrame, path: str, lines_per_file: int) -> None:
     """Rewrite text lines as files of at most ``lines_per_file`` lines."""
     lines.write.option("maxRecordsPerFile", lines_per_file).text(path)

@@ -1,20 +1,35 @@
-"""The match dump: CSV with a header, 27 columns, the players as a JSON map in the last one."""
+"""The match dump: CSV with a header, 27 columns, the players as a JSON map in the last one.
+
+The crawler writes the same columns, but the players' text without quotes around it and with a comma after the last one.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from matchlens import schema as S
 from matchlens.functions.columns import flag
+from matchlens.operators.validate import drop_malformed, parse_counts
 
-# A header line has no numeric match id and goes like any line without one, so parts of a split dump need no header.
-CSV_OPTIONS = {"header": "false", "quote": '"', "escape": '"', "mode": "PERMISSIVE"}
+CSV_OPTIONS = {"quote": '"', "escape": '"', "mode": "PERMISSIVE"}
+# Parts of a split dump need no header. Header and empty lines are no records.
+NO_RECORD = r'^\s*$|^\W*match_id"?,'
+BARE_PLAYERS = r',(\{\s*"{1,2}\d+"{1,2}\s*:.*\})\s*$'
 
 
 def read_dump_lines(spark: SparkSession, path: str) -> DataFrame:
-    """The dump as text columns and numbers; columns that no later step uses are not parsed."""
-    return spark.read.schema(S.DUMP).options(**CSV_OPTIONS).csv(path)
+    """The records of the dump as text columns and numbers; columns that no later step uses are not parsed.
+
+    Players' text without quotes around it is taken from the end of the line, where commas do not cut it.
+    """
+    lines = spark.read.text(path).where(~F.col("value").rlike(NO_RECORD))
+    bare = F.regexp_extract("value", BARE_PLAYERS, 1)
+    columns = F.from_csv(F.regexp_replace("value", BARE_PLAYERS, ","), S.DUMP.simpleString()[len("struct<") : -1].replace(":", " "), CSV_OPTIONS)
+    players = F.regexp_replace(F.regexp_replace(bare, '""', '"'), r",\s*\}$", "}")
+    parts = lines.select(columns.alias("c"), players.alias("bare"))
+    kept = [F.col(f"c.{name}").alias(name) for name in S.DUMP.fieldNames() if name != "pgroup"]
+    return parts.select(*kept, F.when(F.col("bare") != "", F.col("bare")).otherwise(F.col("c.pgroup")).alias("pgroup"))
 
 
 def players_of(pgroup: Column) -> Column:
@@ -42,20 +57,31 @@ def sort_players(players: Column) -> Column:
     return F.transform(F.array_sort(F.transform(players, slot_first)), in_order_of_type)
 
 
-def matches_from_dump(lines: DataFrame) -> DataFrame:
-    """Typed matches; a line without exactly ten players is dropped.
+def _typed(lines: DataFrame) -> DataFrame:
+    """All records; ``match_id`` is null where the line is not a match with exactly ten players.
 
     The players go through ``explode`` so that the filters above do not parse the map again; the other
     columns can still be pruned from the scan.
     """
-    columns = [c for c in S.DUMP_COLUMNS.fieldNames() if c != "radiant_win"]
+    columns = [c for c in S.DUMP_COLUMNS.fieldNames() if c not in ("match_id", "radiant_win")]
     typed = lines.select(
+        "match_id",
         *columns,
         F.coalesce(flag(F.col("radiant_win")), F.lit(False)).alias("radiant_win"),
         F.explode(F.array(players_of(F.col("pgroup")))).alias("players"),
     )
-    return typed.where(F.col("match_id").isNotNull() & (F.size("players") == S.MATCH_PLAYERS))
+    return typed.withColumn("match_id", F.when(F.size("players") == S.MATCH_PLAYERS, F.col("match_id")))
+
+
+def matches_from_dump(lines: DataFrame, observation: Observation | str | None = None) -> DataFrame:
+    """Typed matches; lines that are none are dropped, and counted when an observation is given."""
+    return drop_malformed(_typed(lines), observation)
+
+
+def dump_totals(spark: SparkSession, path: str) -> DataFrame:
+    """``malformed`` and ``total`` records of a dump, as ``parse_totals`` has them for streams."""
+    return _typed(read_dump_lines(spark, path)).agg(*parse_counts())
 
 
-def read_dump(spark: SparkSession, path: str) -> DataFrame:
-    return matches_from_dump(read_dump_lines(spark, path))
+def read_dump(spark: SparkSession, path: str, observation: Observation | str | None = None) -> DataFrame:
+    return matches_from_dump(read_dump_lines(spark, path), observation)

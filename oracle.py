@@ -229,6 +229,10 @@ def oracle_sql() -> dict[str, str]:
             "SELECT count(*) FILTER (match_id % 7 = 0) AS malformed, count(*) + count(*) FILTER (match_id % 7 = 0) AS total FROM v"
         ),
         "dump_roundtrip": _matches(_FLAT),
+        "crawler_lines": _matches(_FLAT),
+        "malformed_dump_lines": _matches(
+            "SELECT count(*) FILTER (match_id % 7 = 0) AS malformed, count(*) + count(*) FILTER (match_id % 7 = 0) AS total FROM v"
+        ),
         "json_roundtrip": _matches(_FLAT),
         "bare_json_roundtrip": _matches(_FLAT),
         "split_roundtrip": _matches(_FLAT),

@@ -14,7 +14,7 @@ from matchlens.session import checkpoint_dir, folder_names, new_folder, stage
 from matchlens.sinks.exports import split_text, to_bare_json, to_dump_rows, to_message_json, write_dump
 from matchlens.sinks.messages import win_rate_messages
 from matchlens.sources.clusters import read_clusters, read_ranges
-from matchlens.sources.dump import read_dump
+from matchlens.sources.dump import dump_totals, read_dump
 from matchlens.sources.messages import parse_matches, parse_win_rate_messages
 
 HEADER = ",".join(S.DUMP.fieldNames())
@@ -95,6 +95,23 @@ def test_parts_of_a_split_dump_need_no_header(spark, tmp_path):
     assert sorted(r["match_id"] for r in read_dump(spark, str(tmp_path / "parts")).collect()) == list(range(1, 8))
 
 
+def test_crawler_lines_are_read_and_bad_ones_counted(spark, tmp_path):
+    def line(match_id, team, win="True"):
+        group = "".join(f'""{s}"":{{""account_id"":{a},""hero_id"":{h},""player_slot"":{s}}},' for a, s, h in team)
+        return f"{match_id},{match_id},{win},{START},1701,1975,4,63,3,155,100,0,10,0,None,None,1,1,,,,,,,,,{{{group}}}"
+
+    texts = [HEADER, line(1, players()), line(2, players()[::-1], "False"), line(3, players()[:9]), dump_line(4), "5,broken", line(6, players())[:-9]]
+    path = tmp_path / "crawler.csv"
+    path.write_text("\n\n".join(texts) + "\n\n")
+    counts = Observation("counts")
+    rows = {r["match_id"]: r for r in read_dump(spark, str(path), counts).collect()}
+    assert {i: r["radiant_win"] for i, r in rows.items()} == {1: True, 2: False, 4: True}
+    assert all([tuple(p) for p in r["players"]] == players() for r in rows.values())
+    assert rows[2]["start_time"] == START and rows[2]["cluster"] == 155 and rows[2]["engine"] == 1
+    assert counts.get == {"malformed": 3, "total": 6}
+    assert dump_totals(spark, str(path)).first().asDict() == counts.get
+
+
 def test_dump_layout(spark, tmp_path):
     matches = frame(spark, *[match(i, win=i % 2 == 0) for i in range(25)])
     assert to_dump_rows(matches).columns == S.DUMP.fieldNames()
