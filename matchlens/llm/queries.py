@@ -10,14 +10,17 @@ from pyspark.sql import functions as F
 
 from matchlens.llm import (
     ecoc_language,
+    heap_counts,
     host_rules,
     line_mph,
     maglev,
     quotient_dedup,
     simhash_grid,
     suffix_levels,
+    taat_search,
     toxicity_grammar,
     tree_bpe,
+    veb_merkle,
     vector_packing,
 )
 from matchlens.llm.common import documents
@@ -70,6 +73,18 @@ def op10_tree_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.withColumnsRenamed({"ids": "ids_sha256", "decoded": "decoded_sha256"})
 
 
+def op11_veb_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return veb_merkle.tampering_check(documents(spark, sf_dir))
+
+
+def op12_taat_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return taat_search.search(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def op13_heap_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return heap_counts.count_tokens(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     from corpus_pipeline import run
 
@@ -88,12 +103,85 @@ def queries() -> dict[str, Query]:
         "op8_line_mph": op8_line_mph,
         "op9_simhash_grid": op9_simhash_grid,
         "op10_tree_bpe": op10_tree_bpe,
+        "op11_veb_merkle": op11_veb_merkle,
+        "op12_taat_search": op12_taat_search,
+        "op13_heap_counts": op13_heap_counts,
         "pipeline": pipeline,
     }
 
 
+TERMS = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+# Levels of merges that the SQL spells out: 16^5 documents a source, 16^3 sources.
+LEVELS, TOP_LEVELS = 5, 3
+
+
+def _merkle_sql() -> str:
+    """Nodes t0, t1, ... level by level, and for each document its fold and siblings p0, p1, ... on the way up."""
+
+    def coded(column: str) -> str:
+        return f"coalesce(strlen(CAST({column} AS VARCHAR)) || ':' || CAST({column} AS VARCHAR), '-')"
+
+    def climb(name: str, levels: int, path: str) -> list[str]:
+        steps = []
+        for k in range(levels):
+            t, p, left, right = f"{name}{k}", f"{path}{k}", "FILTER (t.pos < p.pos)", "FILTER (t.pos > p.pos)"
+            run = "coalesce(string_agg(t.h, '' ORDER BY t.pos) {}, '')"
+            steps.append(f"""{name}{k + 1} AS (
+                SELECT tree, pos // 16 AS pos, (any_value(n) + 15) // 16 AS n,
+                    CASE WHEN any_value(n) > 1 THEN sha256(string_agg(h, '' ORDER BY pos)) ELSE any_value(h) END AS h
+                FROM {t} GROUP BY tree, pos // 16)""")
+            steps.append(f"""{path}{k + 1} AS (
+                SELECT p.r, p.tree, p.pos // 16 AS pos, p.proof || {run.format("FILTER (t.pos <> p.pos)")} AS proof,
+                    CASE WHEN any_value(t.n) > 1 THEN sha256({run.format(left)} || p.f || {run.format(right)}) ELSE p.f END AS f
+                FROM {p} p JOIN {t} t ON t.tree = p.tree AND t.pos // 16 = p.pos // 16 GROUP BY p.r, p.tree, p.pos, p.proof, p.f)""")
+        return steps
+
+    bits = "flatten(list_transform(str_split(CAST(doc_id AS VARCHAR), ''), lambda c: [ord(c), 0, 0, 0, 0, 0, 0, 0]))"
+    step = "xor((xor(c, b) >> 1), CASE WHEN xor(c, b) % 2 = 1 THEN 3988292384 ELSE 0 END)"
+    crc = f"xor(list_reduce(list_prepend(4294967295, CAST({bits} AS BIGINT[])), lambda c, b: {step}), 4294967295)"
+    head = " || ".join(coded(c) for c in veb_merkle.FIELDS[:-1])
+    lower = f"translate(text, '{veb_merkle.UPPER}', '{veb_merkle.LOWER}')"
+    return ", ".join([
+        f"""WITH d AS (
+            SELECT row_number() OVER () AS r, doc_id, coalesce('s' || source, '') AS tree, sha256({head} || {coded("text")}) AS leaf,
+                CASE WHEN {crc} % 5 = 0 THEN sha256({head} || {coded(lower)}) END AS seen
+            FROM documents)""",
+        """e AS (
+            SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf, r) - 1 AS pos, count(*) OVER (PARTITION BY tree) AS n
+            FROM d)""",
+        "t0 AS (SELECT tree, pos, n, leaf AS h FROM e)",
+        "p0 AS (SELECT r, tree, pos, '' AS proof, coalesce(seen, leaf) AS f FROM e)",
+        *climb("t", LEVELS, "p"),
+        f"s AS (SELECT tree AS source, h, row_number() OVER (ORDER BY tree) - 1 AS pos, count(*) OVER () AS n FROM t{LEVELS})",
+        "u0 AS (SELECT '' AS tree, pos, n, h FROM s)",
+        f"q0 AS (SELECT r, '' AS tree, s.pos, proof, f FROM p{LEVELS} JOIN s ON s.source = p{LEVELS}.tree)",
+        *climb("u", TOP_LEVELS, "q"),
+    ]) + f"""
+        SELECT doc_id, leaf, s.h AS subroot, u.h AS root, sha256(proof) AS proof_sha256, f AS folded_root, f = u.h AS verified
+        FROM q{TOP_LEVELS} JOIN d USING (r) JOIN s ON s.source = d.tree, u{TOP_LEVELS} u"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
+        "op11_veb_merkle": _merkle_sql(),
+        "op12_taat_search": f"""
+            WITH t AS (
+                SELECT r, doc_id, unnest({TERMS}) AS term FROM (SELECT row_number() OVER () AS r, doc_id, text FROM documents)
+            ),
+            f AS (SELECT r, doc_id, term, count(*) AS tf FROM t GROUP BY ALL),
+            n AS (SELECT r, count(*) AS n FROM t GROUP BY r),
+            s AS (SELECT count(*) AS docs, sum(n)::BIGINT AS words FROM n),
+            w AS (SELECT term, floor(1000 * ln((2 * any_value(docs) + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM f, s GROUP BY term),
+            i AS (SELECT item_id, k, unnest({TERMS}) AS term FROM (SELECT row_number() OVER () AS k, item_id, text FROM benchmark)),
+            q AS (SELECT item_id, k, term, count(*) AS repeats FROM i GROUP BY ALL),
+            x AS (
+                SELECT item_id, k, r, doc_id,
+                    sum(repeats * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * docs) // words))))::BIGINT AS score
+                FROM q JOIN f USING (term) JOIN w USING (term) JOIN n USING (r), s GROUP BY ALL
+            )
+            SELECT item_id, row_number() OVER (PARTITION BY k ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score
+            FROM x WHERE score > 0 QUALIFY rank <= 20
+        """,
         "op4_quotient_dedup": r"""
             WITH d AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS norm FROM documents),
             g AS (SELECT norm, min(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY norm)
