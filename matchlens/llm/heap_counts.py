@@ -8,10 +8,10 @@ merged once per task, and texts stay where they are: no shuffle, nothing broadca
 
 from __future__ import annotations
 
-import heapq
 import json
 import re
 from collections.abc import Iterator
+from heapq import heapify, heappop, heappush
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -23,8 +23,7 @@ from matchlens.llm.vector_packing import WORDS
 
 LIMIT = 1024
 # What a task remembers at most: so many words, none longer than this.
-CACHED_WORDS, CACHED_LENGTH = 100_000, 48
-PLACE_BITS = 40
+CACHED_WORDS, CACHED_LENGTH = 400_000, 48
 
 
 class MergeTable:
@@ -49,36 +48,35 @@ class MergeTable:
 
     def count(self, word: bytes) -> int:
         """The number of tokens of one word."""
-        symbols = list(word)
-        rank = self.rank
-        if len(symbols) < 2:
-            return len(symbols)
-        after, before = [*range(1, len(symbols)), -1], list(range(-1, len(symbols) - 1))
-        heap = [
-            r << PLACE_BITS | i
-            for i, (a, b) in enumerate(zip(symbols, symbols[1:]))
-            if (r := rank.get(a << 32 | b)) is not None
-        ]
-        heapq.heapify(heap)
+        n = len(word)
+        if n < 2:
+            return n
+        symbols, rank, merged = [*word, -1], self.rank, self.merged
+        # A heap entry is one number, rank * n + place.
+        pairs = enumerate(map(rank.get, [a << 32 | b for a, b in zip(word, word[1:])]))
+        heap = [r * n + i for i, r in pairs if r is not None]
+        if not heap:
+            return n
+        heapify(heap)
+        after, before = list(range(1, n + 1)), list(range(-1, n))
         merges = 0
         while heap:
-            top = heapq.heappop(heap)
-            r, i = top >> PLACE_BITS, top & (1 << PLACE_BITS) - 1
+            r, i = divmod(heappop(heap), n)
             j = after[i]
-            # Merged symbols are -1, and a changed pair has another rank or none.
-            if j < 0 or symbols[i] < 0 or rank.get(symbols[i] << 32 | symbols[j]) != r:
+            # The symbol behind the end is -1, as are merged ones; no rule names it. A changed pair has another rank or none.
+            if symbols[i] < 0 or rank.get(symbols[i] << 32 | symbols[j]) != r:
                 continue
-            symbols[i], symbols[j] = self.merged[r], -1
+            symbols[i] = symbol = merged[r]
+            symbols[j] = -1
             after[i] = k = after[j]
+            before[k] = i
             merges += 1
+            if k < n and (r := rank.get(symbol << 32 | symbols[k])) is not None:
+                heappush(heap, r * n + i)
             h = before[i]
-            if k >= 0:
-                before[k] = i
-                if (r := rank.get(symbols[i] << 32 | symbols[k])) is not None:
-                    heapq.heappush(heap, r << PLACE_BITS | i)
-            if h >= 0 and (r := rank.get(symbols[h] << 32 | symbols[i])) is not None:
-                heapq.heappush(heap, r << PLACE_BITS | h)
-        return len(word) - merges
+            if h >= 0 and (r := rank.get(symbols[h] << 32 | symbol)) is not None:
+                heappush(heap, r * n + h)
+        return n - merges
 
 
 _tables: dict[str, MergeTable] = {}
