@@ -3,11 +3,16 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
+import gc
 import os
 import shutil
 import tempfile
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
+import pyarrow as pa
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -64,6 +69,52 @@ def spread(rows: int, per_group: int) -> int:
     return max(1, -(-rows // per_group))
 
 
+def give_back() -> None:
+    """Return to the system what this Python worker no longer uses; workers outlive their tasks."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def lean(work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable:
+    """``work`` for mapInArrow that leaves a small worker behind when the task ends."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from work(batches)
+        finally:
+            give_back()
+
+    return run
+
+
+SIEVE_BITS = 1 << 25
+
+
+def sieve(keys: DataFrame, column: str) -> DataFrame:
+    """A bitmap of the hashes of ``column``: at most 1,024 rows of 4 KB, whatever the number of keys."""
+    slot = F.pmod(F.xxhash64(column), F.lit(SIEVE_BITS))
+    bits = keys.groupBy(F.bitmap_bucket_number(slot).alias("__bucket"))
+    return bits.agg(F.bitmap_construct_agg(F.bitmap_bit_position(slot)).alias("__bits"))
+
+
+def maybe_in(df: DataFrame, column: str, bitmap: DataFrame) -> DataFrame:
+    """``df`` with ``__maybe``: false only where no key of the ``sieve`` equals ``column``.
+
+    Its bounded size allows the broadcast, and rows that are surely not wanted need no shuffle. With far more keys than
+    bits everything may be in, and the exact join that follows does all the work.
+    """
+    slot = F.pmod(F.xxhash64(column), F.lit(SIEVE_BITS))
+    place = F.bitmap_bit_position(slot)
+    byte = F.conv(F.hex(F.expr("substring(__bits, CAST(__place div 8 AS INT) + 1, 1)")), 16, 10).cast("int")
+    bit = F.expr("shiftright(__byte, CAST(__place % 8 AS INT)) & 1") == 1
+    tried = df.withColumn("__bucket", F.bitmap_bucket_number(slot)).withColumn("__place", place)
+    tried = tried.join(F.broadcast(bitmap), "__bucket", "left").withColumn("__byte", byte)
+    return tried.withColumn("__maybe", F.coalesce(bit, F.lit(False))).drop("__bucket", "__place", "__bits", "__byte")
+
+
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
@@ -90,4 +141,6 @@ def drop(*staged: DataFrame) -> None:
         delete_path(df.sparkSession, df._staged_at)
 
 
-__all__ = ["BLANKS", "SPACE", "documents", "drop", "id_crc", "ship", "spread", "stage", "text_of"]
+__all__ = [
+    "BLANKS", "SPACE", "documents", "drop", "give_back", "id_crc", "lean", "maybe_in", "ship", "sieve", "spread", "stage", "text_of",
+]

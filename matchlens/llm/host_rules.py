@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from matchlens.llm.common import BLANKS, stage, text_of
+from matchlens.llm.common import BLANKS, lean, stage, text_of
 
 SYMBOLS = "#*$%&|<>"
 WINDOW = 5
@@ -73,7 +73,7 @@ def counted(docs: DataFrame, carry: list[str]) -> DataFrame:
     base = docs.select(*carry, F.col("source").cast("string").alias("__host"), text_of().alias("__text"))
     kinds = ", ".join(f"{c}: bigint" for c in COUNTS)
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in base.schema][:-1] + [f"__counts struct<{kinds}>"]
-    return base.mapInArrow(work, ", ".join(fields))
+    return base.mapInArrow(lean(work), ", ".join(fields))
 
 
 def base_failed(limits: Limits) -> Column:

@@ -17,8 +17,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from matchlens.llm.common import BLANKS, spread, stage, text_of
+from matchlens.llm.common import BLANKS, give_back, lean, spread, stage, text_of
 
 MIN_CHARS, MIN_DOCS = 20, 3
 KEYS_PER_SHARD = 50_000
@@ -142,21 +143,21 @@ def probe_index(probes: DataFrame, index: DataFrame, shards: int) -> DataFrame:
 KEYS = pa.schema([("block", pa.int64()), ("h1", pa.int64()), ("h2", pa.int64()), ("id", pa.int64())])
 
 
-def drop_repeated_lines(
-    docs: DataFrame, carry: list[str] | None = None, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS
-) -> DataFrame:
-    """Every row with its remaining ``text``, and ``n_lines`` and ``n_dropped``.
+RESULTS = ("text", "n_lines", "n_dropped")
+
 
-    ``carry`` are the other columns to keep (default: doc_id). A key of at least ``min_chars`` code points that occurs in
-    ``min_docs`` rows loses its lines everywhere but in the row with the largest doc_id. A null or empty text is one empty
-    line. A null doc_id is smaller than all others; rows that share the largest doc_id all keep the line.
+def _rewritten(docs: DataFrame, min_chars: int, min_docs: int) -> DataFrame:
+    """Every row as struct ``row``, with its remaining ``text``, ``n_lines`` and ``n_dropped``.
+
+    The row's own columns stay inside the struct, so their names cannot clash with ours.
     """
-    carry = ["doc_id"] if carry is None else carry
     size = docs.agg(F.sum(F.octet_length(text_of()))).first()[0] or 0
     blocks = spread(size, BYTES_PER_BLOCK)
-    own = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("__id")
-    block = F.pmod(F.xxhash64("doc_id", F.octet_length(text_of())), F.lit(blocks)).alias("block")
-    base = docs.select(*[c for c in carry if c != "text"], own, block, text_of().alias("__text"))
+    own = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("own")
+    # Rows are dealt by id and text, so neither many null ids nor many copies of a text fill one block.
+    block = F.pmod(F.xxhash64("doc_id", text_of()), F.lit(blocks)).alias("block")
+    rest = [docs[f"`{c}`"] for c in docs.columns if c != "text"]
+    base = docs.select(F.struct(*rest).alias("row"), own, block, text_of().alias("body"))
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -167,20 +168,16 @@ def drop_repeated_lines(
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], schema=KEYS)
 
-    keys = stage(base.select("__id", "block", "__text").mapInArrow(emit, "block long, h1 long, h2 long, id long"), "lines")
+    keys = stage(base.select("own", "block", "body").mapInArrow(lean(emit), "block long, h1 long, h2 long, id long"), "lines")
     frequent = keys.groupBy("h1", "h2").agg(F.count("*").alias("n"), F.max("id").alias("keeper")).where(F.col("n") >= min_docs)
     frequent = stage(frequent, "frequent")
     shards = max(spread(frequent.count(), KEYS_PER_SHARD), spread(keys.count(), PROBES_PER_SHARD))
     hits = probe_index(keys.select("block", "h1", "h2").distinct(), build_index(frequent, shards), shards)
 
-    kept = [f for f in base.schema if f.name not in ("__id", "block", "__text")]
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept)
-    schema = (schema + ", " if schema else "") + "`text` string, n_lines long, n_dropped long"
-
     def rewrite(texts: pa.Table, found: pa.Table) -> pa.Table:
         keeper = dict(zip(zip(found.column("h1").to_pylist(), found.column("h2").to_pylist()), found.column("keeper").to_pylist()))
         out, lines_of, dropped_of = [], [], []
-        for own_id, value in zip(texts.column("__id").to_pylist(), texts.column("__text")):
+        for own_id, value in zip(texts.column("own").to_pylist(), texts.column("body")):
             lines = value.as_py().split("\n")
             left = lines
             if keeper:
@@ -188,9 +185,33 @@ def drop_repeated_lines(
             out.append("\n".join(left))
             lines_of.append(len(lines))
             dropped_of.append(len(lines) - len(left))
-        rest = texts.select([f.name for f in kept])
-        for name, values in (("text", out), ("n_lines", lines_of), ("n_dropped", dropped_of)):
-            rest = rest.append_column(name, pa.array(values, pa.string() if name == "text" else pa.int64()))
-        return rest
+        rows = texts.select(["row"])
+        for name, values in zip(RESULTS, (out, lines_of, dropped_of)):
+            rows = rows.append_column(name, pa.array(values, pa.string() if name == "text" else pa.int64()))
+        give_back()
+        return rows
+
+    kinds = T.StructType([base.schema["row"], *(T.StructField(c, T.StringType() if c == "text" else T.LongType()) for c in RESULTS)])
+    return base.groupBy("block").cogroup(hits.groupBy("block")).applyInArrow(rewrite, kinds)
+
+
+def drop_repeated_lines(
+    docs: DataFrame, carry: list[str] | None = None, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS
+) -> DataFrame:
+    """Every row with its remaining ``text``, and ``n_lines`` and ``n_dropped``.
+
+    ``carry`` are the other columns to keep (default: doc_id); one named as a result gives way to it. A key of at least
+    ``min_chars`` code points that occurs in ``min_docs`` rows loses its lines everywhere but in the row with the largest
+    doc_id. A null or empty text is one empty line. A null doc_id is smaller than all others; rows that share the largest
+    doc_id all keep the line. Repeated rows count as rows of their own. An empty table gives an empty result.
+    """
+    kept = [c for c in (["doc_id"] if carry is None else carry) if c not in RESULTS]
+    used = docs.select("text", *{"doc_id": 1, **dict.fromkeys(kept)})
+    rows = _rewritten(used, min_chars, min_docs)
+    return rows.select(*[F.col("row").getField(c).alias(c) for c in kept], *RESULTS)
+
 
-    return base.groupBy("block").cogroup(hits.groupBy("block")).applyInArrow(rewrite, schema)
+def without_repeated_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:
+    """The rows of ``docs`` with all their columns and the remaining text in ``text``, by the rules above."""
+    rows = _rewritten(docs, min_chars, min_docs)
+    return rows.select(*[F.col("text") if c == "text" else F.col("row").getField(c).alias(c) for c in docs.columns])

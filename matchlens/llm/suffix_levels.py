@@ -21,8 +21,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from matchlens.llm.common import drop, stage, text_of
+from matchlens.llm.common import drop, lean, stage, text_of
 
 LENGTH = 200
 HEAD = 64
@@ -120,7 +121,7 @@ def suffix_runs(texts: DataFrame) -> DataFrame:
                 arrays = [pa.array(c, mask=mask) if f.name == "digest" else pa.array(c) for f, c in zip(RUNS, columns)]
                 yield pa.RecordBatch.from_arrays(arrays, schema=RUNS)
 
-    return texts.select("row", "text").mapInArrow(work, "row long, key long, digest long, lo int, hi int")
+    return texts.select("row", "text").mapInArrow(lean(work), "row long, key long, digest long, lo int, hi int")
 
 
 class SuffixFamily:
@@ -179,7 +180,7 @@ def _heads(texts: DataFrame) -> DataFrame:
                 columns = [whole[at].view(np.int64), np.full(len(at), row, dtype=np.int64), at, wanted]
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], schema=HEADS)
 
-    return texts.mapInArrow(work, "head long, row long, at int, wanted boolean")
+    return texts.mapInArrow(lean(work), "head long, row long, at int, wanted boolean")
 
 
 def repeated_spans(texts: DataFrame, batches: int = BATCHES) -> DataFrame:
@@ -217,29 +218,31 @@ def repeated_spans(texts: DataFrame, batches: int = BATCHES) -> DataFrame:
     return own.unionByName(whole).unionByName(found)
 
 
-def remove_repeats(docs: DataFrame, carry: list[str] | None = None, batches: int = BATCHES) -> DataFrame:
-    """Every row with ``kept`` (remaining bytes), ``n_bytes``, ``n_removed``, ``n_spans`` and the ``carry`` columns.
+RESULTS = ("kept", "n_bytes", "n_removed", "n_spans")
 
-    Every byte under a string of 200 bytes that also starts elsewhere, in the same or another row, is removed; overlaps
-    count, matches never cross texts, and all copies lose the string. A null text is empty, texts under 200 bytes
-    stay as they are. Repeated rows are copies of each other. Null ids are allowed: rows are told apart by id and text.
+
+def _cut(docs: DataFrame, batches: int, as_text: bool) -> DataFrame:
+    """Every row as struct ``row`` with ``kept``, ``n_bytes``, ``n_removed`` and ``n_spans``.
+
+    ``kept`` are the remaining bytes, or ``as_text`` their text without characters that lost some of their bytes. The row's
+    own columns stay inside the struct, so their names cannot clash with ours.
     """
-    carry = ["doc_id"] if carry is None else carry
-    row = F.xxhash64(F.col("doc_id"), text_of())
-    base = docs.select(*[c for c in carry if c != "text"], row.alias("__row"), text_of().alias("__text"))
-    texts = base.select(F.col("__row").alias("row"), F.col("__text").alias("text"))
-    spans = repeated_spans(texts, batches).groupBy("row").agg(F.collect_list(F.struct("lo", "hi")).alias("__spans"))
-    joined = base.join(spans.withColumnRenamed("row", "__row"), "__row", "left").drop("__row")
-    rest = [f for f in joined.schema if f.name not in ("__text", "__spans")]
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in rest] + ["kept binary, n_bytes long, n_removed long, n_spans long"])
+    key = F.xxhash64(F.col("doc_id"), text_of())
+    rest = [docs[f"`{c}`"] for c in docs.columns if c != "text"]
+    base = docs.select(F.struct(*rest).alias("row"), key.alias("key"), text_of().alias("text"))
+    spans = repeated_spans(base.select(F.col("key").alias("row"), "text"), batches)
+    spans = spans.groupBy(F.col("row").alias("key")).agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
+    joined = base.join(spans, "key", "left").select("row", "text", "spans")
+    kind, made = (T.StringType(), pa.string()) if as_text else (T.BinaryType(), pa.binary())
+    schema = T.StructType([joined.schema["row"], T.StructField("kept", kind), *(T.StructField(c, T.LongType()) for c in RESULTS[1:])])
 
     def cut(batch_iter: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batch_iter:
             kept, sizes, removed, counts = [], [], [], []
-            ranges = batch.column("__spans")
+            ranges = batch.column("spans")
             ends = ranges.offsets.to_numpy()
             lo, hi = (ranges.values.field(i).to_numpy() for i in range(2))
-            for i, value in enumerate(batch.column("__text")):
+            for i, value in enumerate(batch.column("text")):
                 data, a, b = value.as_py().encode(), ends[i], ends[i + 1]
                 left, spans = data, 0
                 if b > a:
@@ -248,26 +251,30 @@ def remove_repeats(docs: DataFrame, carry: list[str] | None = None, batches: int
                     mask = np.cumsum(depth[:-1]) > 0
                     left = np.frombuffer(data, dtype=np.uint8)[~mask].tobytes()
                     spans = int(np.count_nonzero(mask[1:] > mask[:-1])) + int(mask[0])
-                kept.append(left)
+                kept.append(left.decode("utf-8", "ignore") if as_text else left)
                 sizes.append(len(data))
                 removed.append(len(data) - len(left))
                 counts.append(spans)
-            out = [batch.column(f.name) for f in rest]
-            out += [pa.array(kept, pa.binary()), *(pa.array(x, pa.int64()) for x in (sizes, removed, counts))]
-            yield pa.RecordBatch.from_arrays(out, names=[f.name for f in rest] + ["kept", "n_bytes", "n_removed", "n_spans"])
+            out = [batch.column("row"), pa.array(kept, made), *(pa.array(x, pa.int64()) for x in (sizes, removed, counts))]
+            yield pa.RecordBatch.from_arrays(out, names=["row", *RESULTS])
 
-    return joined.mapInArrow(cut, schema)
+    return joined.mapInArrow(lean(cut), schema)
 
 
-def without_repeats(docs: DataFrame) -> DataFrame:
-    """``docs`` with the remaining text in ``text``; a character that lost some of its bytes is left out."""
-    bare = remove_repeats(docs, docs.columns).drop("n_bytes", "n_removed", "n_spans")
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in bare.schema if f.name != "kept") + ", `text` string"
+def remove_repeats(docs: DataFrame, carry: list[str] | None = None, batches: int = BATCHES) -> DataFrame:
+    """Every row with ``kept`` (remaining bytes), ``n_bytes``, ``n_removed``, ``n_spans`` and the ``carry`` columns.
 
-    def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = [value.as_py().decode("utf-8", "ignore") for value in batch.column("kept")]
-            at = batch.schema.get_field_index("kept")
-            yield batch.set_column(at, "text", pa.array(texts, pa.string()))
+    Every byte under a string of 200 bytes that also starts elsewhere, in the same or another row, is removed; overlaps
+    count, matches never cross texts, and all copies lose the string. A null text is empty, texts under 200 bytes
+    stay as they are. Repeated rows are copies of each other. Null ids are allowed: rows are told apart by id and text.
+    ``carry`` (default: doc_id) leaves out columns named as a result. An empty table gives an empty result.
+    """
+    kept = [c for c in (["doc_id"] if carry is None else carry) if c not in ("text", *RESULTS)]
+    rows = _cut(docs.select("text", *{"doc_id": 1, **dict.fromkeys(kept)}), batches, False)
+    return rows.select(*[F.col("row").getField(c).alias(c) for c in kept], *RESULTS)
 
-    return bare.mapInArrow(decode, fields).select(*docs.columns)
+
+def without_repeats(docs: DataFrame) -> DataFrame:
+    """``docs`` with all columns and the remaining text in ``text``; a character that lost some of its bytes is left out."""
+    rows = _cut(docs, BATCHES, True)
+    return rows.select(*[F.col("kept").alias(c) if c == "text" else F.col("row").getField(c).alias(c) for c in docs.columns])

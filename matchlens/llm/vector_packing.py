@@ -7,10 +7,12 @@ weighted residual norm after placement, or the largest weighted dot product of d
 
 from __future__ import annotations
 
+import json
 import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -18,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from matchlens.llm.common import spread, stage, text_of
+from matchlens.llm.common import give_back, lean, spread, stage, text_of
 from matchlens.llm.tree_bpe import LETTERS, UNFAMILIAR
 
 PER_GROUP = 20_000
@@ -102,6 +104,7 @@ def pack(pieces: DataFrame, capacity: Capacity = Capacity(), per_group: int = PE
         offset[order] = ends - sizes - starts
         group["sequence_id"] = (int(key[0]) << 40) + bins
         group["offset"] = offset
+        give_back()
         return group.drop(columns="grp")
 
     dealt = pieces.withColumn("grp", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(groups)))
@@ -133,13 +136,20 @@ class Coder:
     """Texts to packed ids with a byte-level vocabulary and its rank file, which hold the same tokens."""
 
     def __init__(self, vocabulary: str, ranks: str):
+        self.vocabulary = vocabulary
+        with open(vocabulary, encoding="utf-8") as file:
+            self.specials = [t["content"] for t in json.load(file)["added_tokens"]]
+        self.words = Words(ranks)
+
+    @cached_property
+    def tokenizer(self):
+        """The library itself, made when the first text needs it."""
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(vocabulary)
-        self.tokenizer.no_padding()
-        self.tokenizer.no_truncation()
-        self.specials = {t.content: i for i, t in self.tokenizer.get_added_tokens_decoder().items()}
-        self.words = Words(ranks)
+        tokenizer = Tokenizer.from_file(self.vocabulary)
+        tokenizer.no_padding()
+        tokenizer.no_truncation()
+        return tokenizer
 
     def encode(self, text: str) -> bytes:
         if UNFAMILIAR.search(text) or any(s in text for s in self.specials):
@@ -184,9 +194,10 @@ def tokenised_pieces(docs: DataFrame, vocabulary: str, ranks: str, tokens: int =
                     start, piece = start + size, piece + 1
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), fields.types)], schema=fields)
+        made.words.clear()
 
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids binary" * with_ids
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text")).mapInArrow(work, schema)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text")).mapInArrow(lean(work), schema)
 
 
 def pack_documents(docs: DataFrame, vocabulary: str, ranks: str, capacity: Capacity = Capacity()) -> DataFrame:

@@ -338,3 +338,36 @@ def test_pipeline_stages_work_on_what_is_left(make, spark):
 def test_pipeline_on_the_table(spark):
     rows = corpus_pipeline.run(spark, SMALL).collect()
     assert rows and len({(r.sequence_id, r.offset) for r in rows}) == len(rows)
+
+
+CLASHING = ("block", "kept", "n_lines", "n_dropped", "n_bytes", "n_removed", "n_spans", "row", "own", "body", "key", "spans", "keeper", "shard", "wins", "tid", "length")
+
+
+def test_stages_carry_clashing_columns_and_odd_rows(make, spark):
+    """Expected rows of the four filtering stages on nulls, ties, repeats, a long text and names that clash."""
+    prose = " ".join(f"word{i} about nothing much" for i in range(40))
+    long = " ".join(f"long{i}" for i in range(120_000))
+    line = "this line stands in many documents"
+    texts = [(0, prose), (1, prose + " again"), (2, long), (3, None), (4, ""), (5, prose), (5, prose), (None, prose + " too")]
+    texts += [(10 + i, f"{line}\n" + " ".join(f"own{i}x{k}" for k in range(60))) for i in range(4)]
+    docs = make(texts)
+    for name in CLASHING:
+        docs = docs.withColumn(name, rules.F.concat(rules.F.lit(f"{name} of "), rules.F.col("doc_id").cast("string")))
+    columns = docs.columns
+    for _, work in corpus_pipeline.STAGES[:4]:
+        docs = vector_packing.stage(work(spark, docs, SMALL), "test")
+        assert docs.columns == columns
+    rows = {r.doc_id: r for r in docs.collect()}
+    # Too few words: 3 and 4 go. The line of 0, 5 and 5 stays in both 5, that of the others in 13. Near copies: 1 stays of 1, 5, 5 and the null id.
+    assert sorted(rows) == [0, 1, 2, 10, 11, 12, 13]
+    assert rows[0].text == "" and rows[1].text == prose + " again" and rows[2].text == long
+    for i in range(4):
+        own = " ".join(f"own{i}x{k}" for k in range(60))
+        assert rows[10 + i].text == (f"{line}\n{own}" if i == 3 else own)
+    for r in rows.values():
+        assert r.n_chars == len(r.text) and all(r[name] == f"{name} of {r.doc_id}" for name in CLASHING)
+    packed = corpus_pipeline.STAGES[4][1](spark, docs, SMALL)
+    assert {r.doc_id for r in packed.collect()} == set(rows)
+    empty = spark.createDataFrame([], docs.schema)
+    for _, work in corpus_pipeline.STAGES:
+        assert work(spark, empty, SMALL).count() == 0
