@@ -69,6 +69,27 @@ def merge_sketches(sketches: DataFrame, period: tuple[str, ...]) -> DataFrame:
     return sketches.groupBy(*period).agg(F.hll_union_agg("sketch").alias("sketch"))
 
 
+def user_bitmaps(rows: DataFrame, period: tuple[str, ...] = DAY, account: str = "account_id") -> DataFrame:
+    """The exact set of accounts of each period: one bitmap per bucket of 32,768 neighbouring account numbers.
+
+    Buckets spread a hot day over tasks, and a bitmap is 4 KB however often an account plays. Rows without account
+    belong to no one.
+    """
+    known = rows.where(F.col(account).isNotNull())
+    buckets = known.groupBy(*period, F.bitmap_bucket_number(account).alias("bucket"))
+    return buckets.agg(F.bitmap_construct_agg(F.bitmap_bit_position(account)).alias("users"))
+
+
+def merge_bitmaps(bitmaps: DataFrame, period: tuple[str, ...]) -> DataFrame:
+    """Bitmaps of a coarser period from those of a finer one, without reading the rows again."""
+    return bitmaps.groupBy(*period, "bucket").agg(F.bitmap_or_agg("users").alias("users"))
+
+
+def bitmap_counts(bitmaps: DataFrame, period: tuple[str, ...]) -> DataFrame:
+    """The exact number of accounts of each period, from one bitmap per bucket."""
+    return bitmaps.groupBy(*period).agg(F.sum(F.bitmap_count("users")).alias("num"))
+
+
 def sketch_counts(sketches: DataFrame) -> DataFrame:
     """The estimated number of users in each sketch."""
     return sketches.withColumn("num", F.hll_sketch_estimate("sketch")).drop("sketch")

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from matchlens.functions.columns import date_parts, utc_date
+from matchlens.operators.bands import band_join
 from matchlens.operators.expand import cluster_info
 
 
@@ -49,12 +50,13 @@ def players_in_game(matches: DataFrame) -> DataFrame:
 def with_region(rows: DataFrame, exact: DataFrame, ranges: DataFrame) -> DataFrame:
     """Adds ``region`` of ``cluster_id``: the exact entry if there is one, else the range, else NULL.
 
-    Ranges are unrolled to single ids, so both lookups are one equi-join and no range join is
-    needed. The lookup has one row per cluster id, which the id space of servers bounds.
+    Of several ranges the narrowest decides, then the one that starts first. Each id is looked up once; ranges may be as
+    wide as they like.
     """
-    each_id = F.explode(F.sequence("lo", "hi")).alias("cluster_id")
-    spelled = ranges.select(each_id, "region", F.lit(1).alias("rank"))
-    known = exact.select("cluster_id", "region", F.lit(0).alias("rank")).unionByName(spelled)
+    order = F.struct((F.col("hi") - F.col("lo")).alias("width"), "lo", "region")
+    spanned = band_join(rows.select("cluster_id").distinct(), ranges, "cluster_id")
+    spanned = spanned.groupBy("cluster_id").agg(F.min_by("region", order).alias("region")).withColumn("rank", F.lit(1))
+    known = exact.select("cluster_id", "region", F.lit(0).alias("rank")).unionByName(spanned)
     lookup = known.groupBy("cluster_id").agg(F.min_by("region", "rank").alias("region"))
     return rows.join(lookup, "cluster_id", "left")
 

@@ -123,18 +123,26 @@ def full_windows(parts: DataFrame) -> DataFrame:
     return parts.where(F.col("played") == F.col("size"))
 
 
-def rolling_win_rate(rows: DataFrame, keys: Sequence[str], size: int, block: int = 100_000) -> DataFrame:
+def rolling_win_rate(
+    rows: DataFrame, keys: Sequence[str], size: int, block: int = 100_000, history: DataFrame | None = None
+) -> DataFrame:
     """After every result of a key, the win rate over its last ``size`` results.
 
     Positions are cut into blocks; the last ``size - 1`` rows of a block are also sent to the next one
-    as history. A task's group is thus at most ``block + size`` rows.
+    as history. A task's group is thus at most ``block + size`` rows. ``history`` (keys, position, win) holds the last
+    results before ``rows``; they count, but have no result of their own.
     """
     block = max(block, size)
-    positioned = with_positions(rows, keys)
+    before = history.groupBy(*keys).agg(F.max("position").alias("before")) if history is not None else None
+    positioned = with_positions(rows, keys, before)
     copy = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies")))
     single = positioned.withColumn("_copy", copy).withColumn(
         "position", F.col("position") - F.col("copies") + F.col("_copy")
     )
+    single = single.withColumn("_earlier", F.lit(False))
+    if history is not None:
+        earlier = history.select(*keys, "position", "win", F.lit(True).alias("_earlier"))
+        single = single.unionByName(earlier, allowMissingColumns=True)
     own = _div(F.col("position") - 1, F.lit(block))
     is_history = F.col("position") > (own + 1) * block - (size - 1)
     targets = F.when(is_history, F.array(own, own + 1)).otherwise(F.array(own))
@@ -143,9 +151,9 @@ def rolling_win_rate(rows: DataFrame, keys: Sequence[str], size: int, block: int
     return (
         spread.withColumn("wins", F.sum("win").over(last))
         .withColumn("played", F.count(F.lit(1)).over(last))
-        .where(F.col("_own") == F.col("_block"))
+        .where((F.col("_own") == F.col("_block")) & ~F.col("_earlier"))
         .withColumn("win_rate", F.col("wins") / F.col("played"))
-        .drop("_own", "_block", "_copy", "seq", "turn", "copies")
+        .drop("_own", "_block", "_copy", "_earlier", "seq", "turn", "copies")
     )
 
 

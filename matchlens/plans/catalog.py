@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
+from functools import reduce
+from itertools import pairwise
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,20 +13,22 @@ from pyspark.sql import functions as F
 from matchlens import schema as S
 from matchlens.functions.columns import date_parts, utc_date
 from matchlens.operators import activity, expand, regions, sequence, winrate
+from matchlens.operators.bands import band_join
 from matchlens.operators.dates import new_dates, next_date
 from matchlens.operators.keyed import latest_values, newest_rows
 from matchlens.operators.validate import valid_matches
 from matchlens.plans import jobs, serving
-from matchlens.session import new_folder
+from matchlens.session import new_folder, stage
 from matchlens.sinks.exports import split_text, to_bare_json, to_crawler_lines, to_message_json, write_dump
 from matchlens.sinks.messages import win_rate_messages
 from matchlens.sinks.tables import Tables
 from matchlens.sources.clusters import default_clusters, default_ranges
 from matchlens.sources.dump import dump_totals, read_dump
 from matchlens.sources.events import EPOCH_SECONDS, read_event_matches, read_events
-from matchlens.sources.messages import parse_matches, parse_win_rate_messages, read_text_stream
-from matchlens.streaming import pipeline
+from matchlens.sources.messages import parse_matches, parse_win_rate_messages, read_message_stream, read_text_stream
+from matchlens.streaming import in_game, intake, live_state, pipeline
 from matchlens.streaming.count_windows import live_values
+from matchlens.streaming.rolling import rolling_writer
 from matchlens.streaming.windows import cluster_player_windows, hero_win_rate_windows, with_event_time
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -277,6 +282,15 @@ def _refreshed(table: str, sketches: bool = False) -> Query:
     return query
 
 
+def _stored_sketches(spark: SparkSession, folder: str) -> DataFrame:
+    """Months whose estimate from stored daily sketches lies within 5 % of the exact count."""
+    tables, _ = _run_stream(spark, folder, "facts", "hero_days")
+    jobs.refresh_activity(tables, sketches=True)
+    exact = activity.active_users(tables.read("daily_player"), activity.MONTH)
+    months = tables.read("monthly_active_users")
+    return activity.close_counts(exact.join(months.select(*activity.MONTH), list(activity.MONTH), "left_semi"), months, activity.MONTH)
+
+
 def _upserted_days(spark: SparkSession, folder: str) -> DataFrame:
     """Daily users of all events, then corrected by those of matches, through the table's upsert."""
     tables = Tables(spark, new_folder(spark, "tables"))
@@ -285,8 +299,166 @@ def _upserted_days(spark: SparkSession, folder: str) -> DataFrame:
     return tables.read("daily_active_users")
 
 
+def _monthly_bitmaps(spark: SparkSession, folder: str) -> DataFrame:
+    """A third of the matches arrives after the refresh; the second one reads only the days they fall on."""
+    root, all_matches = new_folder(spark, "live"), matches(spark, folder)
+    _send(to_message_json(all_matches.where("match_id % 3 <> 0")), root)
+    jobs.refresh_activity(_live(spark, root, "facts", "hero_days"), bitmaps=True)
+    _send(to_message_json(all_matches.where("match_id % 3 = 0")), root)
+    tables = _live(spark, root, "facts")
+    jobs.refresh_activity(tables, bitmaps=True, compact=True)
+    return tables.read("monthly_active_users")
+
+
+def _order_bitmaps(spark: SparkSession, folder: str) -> DataFrame:
+    """Customers who ordered in each month, from the bitmaps of its days."""
+    orders = spark.read.parquet(f"{folder}/orders.parquet")
+    daily = activity.user_bitmaps(orders.select(*date_parts(F.to_date("o_orderdate")), F.col("o_custkey").alias("account_id")))
+    return activity.bitmap_counts(activity.merge_bitmaps(daily, activity.MONTH), activity.MONTH)
+
+
+def _logged(spark: SparkSession, root: str) -> Tables:
+    """Run the intake and then the queries over its log to the end, from where they stopped."""
+    tables = Tables(spark, f"{root}/tables")
+    writer = intake.intake_writer(read_text_stream(spark, f"{root}/in"), tables, root, f"{root}/checkpoints/intake")
+    for writers in ({"intake": writer}, intake.stateful_writers(intake.read_log(spark, root), tables, root, f"{root}/checkpoints")):
+        for query in pipeline.start(writers, interval=None):
+            query.awaitTermination()
+    return tables
+
+
+def _in_two_runs(spark: SparkSession, folder: str) -> tuple[Tables, str]:
+    """Two thirds of the matches, with some texts cut in half, and after a restart the rest, partly too late."""
+    root, all_matches = new_folder(spark, "live"), matches(spark, folder)
+    early = to_message_json(all_matches.where("match_id % 3 <> 0"))
+    cut = early.where(F.get_json_object("value", "$.match_id").cast("long") % 7 == 0)
+    _send(early.select("value").unionByName(cut.select(F.expr("left(value, length(value) div 2)").alias("value"))), root)
+    _logged(spark, root)
+    _send(to_message_json(all_matches.where("match_id % 3 = 0")), root)
+    return _logged(spark, root), root
+
+
+def _late_dropped(table: str) -> Query:
+    return lambda spark, folder: _in_two_runs(spark, folder)[0].read(table)
+
+
+def _rejects(spark: SparkSession, folder: str) -> DataFrame:
+    match_id = F.regexp_extract("value", r'"match_id"\s*:\s*(\d+)', 1).cast("long")
+    return intake.read_rejects(spark, _in_two_runs(spark, folder)[1]).select("reason", match_id.alias("match_id"))
+
+
+def _reject_totals(spark: SparkSession, folder: str) -> DataFrame:
+    return intake.reject_totals(spark, _in_two_runs(spark, folder)[1])
+
+
+def _all_outputs(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows and a sum of every output that one reading of the source feeds."""
+    root = new_folder(spark, "live")
+    _send(to_message_json(matches(spark, folder)), root)
+    tables = _logged(spark, root)
+    sums = {
+        "hero_win_rate": (tables.read("hero_win_rate"), F.sum("count")),
+        "region_num_of_players": (tables.read("region_num_of_players"), F.sum("num_of_players")),
+        "player_match": (tables.read("player_match"), F.sum("account_id")),
+        "daily_player": (tables.read("daily_player"), F.sum("duration")),
+        "match_simple": (spark.read.text(f"{root}/{S.SIMPLE_TOPIC}"), F.sum(F.length("value"))),
+        "messages": (spark.read.schema("topic string, value string").json(f"{root}/live/messages"), F.sum(F.length("value"))),
+    }
+    parts = [
+        rows.agg(F.lit(name).alias("output"), F.count(F.lit(1)).alias("n"), total.cast("bigint").alias("total"))
+        for name, (rows, total) in sums.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _quarters(m: DataFrame) -> list[DataFrame]:
+    """Matches in four parts by start time."""
+    cuts = [-math.inf, *m.stat.approxQuantile("start_time", [0.25, 0.5, 0.75], 0.01), math.inf]
+    start = F.col("start_time").cast("double")
+    return [m.where((start > F.lit(a)) & (start <= F.lit(b))) for a, b in pairwise(cuts)]
+
+
+def _over_quarters(spark: SparkSession, folder: str, run: Callable[[str], None]) -> str:
+    """Send the matches quarter by quarter and let ``run`` work off each, restarting from its checkpoint."""
+    root = new_folder(spark, "live")
+    for part in _quarters(matches(spark, folder)):
+        _send(to_message_json(part), root)
+        run(root)
+    return root
+
+
+def _stream_rolling(spark: SparkSession, folder: str) -> DataFrame:
+    def run(root: str) -> None:
+        parsed = pipeline.parsed_matches(read_text_stream(spark, f"{root}/in"))
+        rolling_writer(parsed, root, f"{root}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+
+    root = _over_quarters(spark, folder, run)
+    schema = "hero_id int, match_id bigint, slot int, position bigint, wins bigint, played bigint, win_rate double"
+    return spark.read.schema(schema).parquet(f"{root}/rolling").select(*[c.split()[0] for c in schema.split(", ")])
+
+
+def _stream_in_game(spark: SparkSession, folder: str) -> DataFrame:
+    def run(root: str) -> None:
+        parsed = pipeline.parsed_matches(read_text_stream(spark, f"{root}/in"))
+        changes = in_game.player_changes(parsed).writeStream.format("parquet").option("path", f"{root}/changes")
+        changes.option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+
+    before = spark.conf.get(in_game.STATE_STORE_SETTING)
+    spark.conf.set(in_game.STATE_STORE_SETTING, in_game.STATE_STORE)
+    try:
+        root = _over_quarters(spark, folder, run)
+    finally:
+        spark.conf.set(in_game.STATE_STORE_SETTING, before)
+    return in_game.players_over_time(spark.read.schema(in_game.CHANGES).parquet(f"{root}/changes"))
+
+
+def _live_from_state(spark: SparkSession, folder: str) -> DataFrame:
+    """Live values from the state of a query that was stopped and started again between two parts of the messages."""
+    root = new_folder(spark, "live")
+    messages = stage(_messages(matches(spark, folder)), "messages")
+    for odd in (0, 1):
+        messages.where(F.pmod(F.xxhash64("value"), F.lit(2)) == odd).write.mode("append").json(f"{root}/in")
+        writer = live_state.newest_value_writer(read_message_stream(spark, f"{root}/in"), f"{root}/checkpoint")
+        writer.trigger(availableNow=True).start().awaitTermination()
+    return live_state.read_newest_values(spark, f"{root}/checkpoint").select("key", "value")
+
+
+def _message_values(spark: SparkSession, folder: str) -> DataFrame:
+    """Keys and values that a consumer of the message stream gets, over two micro-batches."""
+    root = new_folder(spark, "live")
+    _messages(matches(spark, folder)).repartition(2).write.json(f"{root}/in")
+    stream = read_message_stream(spark, f"{root}/in", files_per_batch=1)
+    values = parse_win_rate_messages(stream).select("topic", "key", "value").writeStream.format("parquet")
+    values = values.option("path", f"{root}/values").option("checkpointLocation", f"{root}/checkpoint")
+    values.trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema("topic string, key string, value string").parquet(f"{root}/values")
+
+
+def _price_bands(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders whose price in cents lies in the span of each supplier nation's account balances, widened to prices."""
+    cents = F.round(F.col("o_totalprice") * 100).cast("bigint")
+    orders = spark.read.parquet(f"{folder}/orders.parquet").select(cents.alias("cents"))
+    balance = F.round(F.col("s_acctbal") * 100).cast("bigint")
+    suppliers = spark.read.parquet(f"{folder}/supplier.parquet").select("s_nationkey", balance.alias("b"))
+    bands = suppliers.groupBy("s_nationkey").agg((F.min("b") * 20).alias("lo"), (F.max("b") * 40).alias("hi"))
+    return band_join(orders, bands, "cents").groupBy("s_nationkey").agg(F.count(F.lit(1)).alias("orders"), F.sum("cents").alias("cents"))
+
+
 def catalog() -> dict[str, Query]:
     return {
+        "refresh_monthly_bitmaps": _monthly_bitmaps,
+        "refresh_monthly_sketches_stored": _stored_sketches,
+        "mau_bitmaps": _order_bitmaps,
+        "stream_late_dropped": _late_dropped("hero_win_rate"),
+        "stream_late_clusters_dropped": _late_dropped("region_num_of_players"),
+        "reject_rows": _rejects,
+        "reject_totals": _reject_totals,
+        "stream_all_outputs": _all_outputs,
+        "stream_rolling_win_rate": _stream_rolling,
+        "stream_players_in_game": _stream_in_game,
+        "live_values_from_state": _live_from_state,
+        "message_stream_values": _message_values,
+        "order_price_bands": _price_bands,
         "valid_matches": _on_matches(_flat),
         "hero_results": _on_matches(expand.hero_results),
         "hero_pairs": _on_matches(expand.hero_pairs),

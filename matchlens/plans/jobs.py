@@ -11,6 +11,7 @@ from matchlens.sinks.tables import STREAM_TABLES, Tables
 
 Day = tuple[int, int, int]
 JOB = "activity"
+BITMAP_JOB = "user_bitmaps"
 
 
 def in_days(days: list[Day]) -> Column:
@@ -75,15 +76,43 @@ def pending_dates(tables: Tables, job: str = JOB, after: str | None = None) -> D
     return states.where(F.col("seen").isNull() | (F.col("batch") > F.col("seen"))).select(*DATE, "batch")
 
 
+def refresh_bitmaps(tables: Tables, months: list[tuple[int, int]]) -> list[Day]:
+    """Store the users of the days of these months whose facts are newer than their bitmaps; returns these days.
+
+    Only the facts of these days are read. They are logged like the days of a job, after their bitmaps are there.
+    """
+    seen = tables.read("processed_dates", F.col("job") == BITMAP_JOB).select(*DATE, F.col("batch").alias("seen"))
+    newest = tables.newest_batches("daily_player").where(in_months(months)).join(seen, DATE, "left")
+    changed = newest.where(F.col("seen").isNull() | (F.col("batch") > F.col("seen")))
+    # Dates only: at most one small row per calendar day.
+    batch_of = {(r.year, r.month, r.day): r.batch for r in changed.collect()}
+    days = sorted(batch_of)
+    if days:
+        tables.upsert("daily_user_bitmap", activity.user_bitmaps(tables.read("daily_player", in_days(days))))
+        log_days(tables, BITMAP_JOB, batch_of)
+    return days
+
+
+def log_days(tables: Tables, job: str, batch_of: dict[Day, int]) -> None:
+    rows = [(job, *day, batch_of[day]) for day in sorted(batch_of)]
+    tables.upsert("processed_dates", tables.spark.createDataFrame(rows, "job string, year int, month int, day int, batch long"))
+
+
 def refresh_activity(
-    tables: Tables, first_only: bool = False, after: str | None = None, sketches: bool = False
+    tables: Tables,
+    first_only: bool = False,
+    after: str | None = None,
+    sketches: bool = False,
+    bitmaps: bool = False,
+    compact: bool = False,
 ) -> list[Day]:
     """Bring player totals, daily users and monthly users up to date; returns the days done.
 
     All pending days are computed in one pass per table. The days are logged last, with the newest batch that
     was there before their facts were read, so a run that stops early is repeated and later facts open the
     day again. With ``sketches``, months are estimated by merging stored daily sketches; days of these months
-    without one get it first.
+    without one get it first. With ``bitmaps``, months are exact and come from stored daily bitmaps, so only days with
+    newer facts are read. With ``compact``, the micro-batch folders of the days are merged before they are read.
     """
     pending = pending_dates(tables, after=after)
     if first_only:
@@ -94,10 +123,16 @@ def refresh_activity(
     if not days:
         return []
     months = sorted({day[:2] for day in days})
+    if compact:
+        compact_days(tables, days)
     tables.upsert("player_daily", activity.player_daily(tables.read("player_match", in_days(days))))
     tables.upsert("daily_active_users", activity.active_users(tables.read("daily_player", in_days(days))))
     monthly_rows = tables.read("daily_player", in_months(months))
-    if sketches:
+    if bitmaps:
+        refresh_bitmaps(tables, months)
+        merged = activity.merge_bitmaps(tables.read("daily_user_bitmap", in_months(months)), activity.MONTH)
+        monthly = activity.bitmap_counts(merged, activity.MONTH)
+    elif sketches:
         # Stored sketches of other days stay, those of pending days and missing ones are made.
         stored = tables.read("daily_user_sketch", in_months(months) & ~in_days(days)).select(*DATE)
         tables.upsert("daily_user_sketch", activity.user_sketches(monthly_rows.join(stored, DATE, "left_anti")))
@@ -106,9 +141,7 @@ def refresh_activity(
     else:
         monthly = activity.active_users(monthly_rows, activity.MONTH)
     tables.upsert("monthly_active_users", monthly)
-    rows = [(JOB, *day, batch_of[day]) for day in days]
-    logged = tables.spark.createDataFrame(rows, "job string, year int, month int, day int, batch long")
-    tables.upsert("processed_dates", logged)
+    log_days(tables, JOB, batch_of)
     return days
 
 

@@ -137,6 +137,12 @@ _TABLES = (
         "year month day",
         "year month",
     ),
+    _table(
+        "daily_user_bitmap",
+        "year int, month int, day int, bucket bigint, users binary",
+        "year month day bucket",
+        "year month day",
+    ),
     _table(
         "processed_dates",
         "job string, year int, month int, day int, batch bigint",

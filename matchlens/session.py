@@ -84,6 +84,15 @@ def delete_path(spark: SparkSession, path: str) -> None:
     files.delete(hadoop_path, True)
 
 
+def move_path(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a folder; the folder above the target is made if it is missing."""
+    files, hadoop_path = _hadoop(spark, source)
+    _, hadoop_target = _hadoop(spark, target)
+    files.mkdirs(hadoop_target.getParent())
+    if not files.rename(hadoop_path, hadoop_target):
+        raise OSError(f"cannot move {source} to {target}")
+
+
 def folder_names(spark: SparkSession, path: str) -> list[str]:
     """Names of the folders directly below ``path``."""
     files, hadoop_path = _hadoop(spark, path)

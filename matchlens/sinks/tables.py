@@ -14,8 +14,11 @@ from matchlens.session import delete_path, folder_names, path_exists, stage
 
 # Written by streams: every micro-batch adds its own folder and readers take the newest row per key.
 STREAM_TABLES = ("hero_win_rate", "region_num_of_players", "player_match", "daily_player")
-# Stream tables number the folder of micro-batch n as n times this; compaction uses numbers between.
+# Stream tables number the folder of micro-batch n as n times this. Compaction uses the numbers between: one each time, and
+# only once a newer micro-batch has come or when an interrupted run is repeated.
 BATCH_STEP = 1000
+# Tables keyed by it get a Parquet bloom filter on it, for lookups of one key over all days.
+BLOOM_COLUMN = "account_id"
 
 
 class Tables:
@@ -55,8 +58,12 @@ class Tables:
         return self._scan(name).select("year", "month", "day").distinct()
 
     def newest_batches(self, name: str) -> DataFrame:
-        """Dates present in a stream table with the highest batch number of each; no data column is read."""
-        return self._scan(name).groupBy("year", "month", "day").agg(F.max("batch").alias("batch"))
+        """Dates present in a stream table with the newest micro-batch of each, as numbered folder; no data column is read.
+
+        Compacted folders count as the newest micro-batch they hold: merging brings no newer rows.
+        """
+        micro_batch = F.expr(f"batch div {BATCH_STEP} * {BATCH_STEP}")
+        return self._scan(name).groupBy("year", "month", "day").agg(F.max(micro_batch).alias("batch"))
 
     def _scan(self, name: str) -> DataFrame:
         table = S.TABLES[name]
@@ -77,8 +84,8 @@ class Tables:
         """Merge the micro-batch folders of each selected day of a stream table into one.
 
         The merged rows go to a new folder that ranks just above the newest one read; only then are the
-        folders that were read deleted. At every moment readers find all rows, and micro-batches may be
-        appended meanwhile. ``where`` may only use date columns.
+        folders that were read deleted. A reader that lists the folders meanwhile finds all rows; one that has listed
+        them before must list them again. Micro-batches may be appended meanwhile. ``where`` may only use date columns.
         """
         table = S.TABLES[name]
         date = list(table.partition_by)
@@ -160,9 +167,12 @@ class Tables:
         """
         table = S.TABLES[name]
         order = list(dict.fromkeys([*partition_by, *table.key]))
-        rows.repartitionByRange(*order).sortWithinPartitions(*order).write.mode("overwrite").option(
-            "partitionOverwriteMode", "dynamic"
-        ).partitionBy(*partition_by).parquet(self.path(name))
+        writer = rows.repartitionByRange(*order).sortWithinPartitions(*order).write.mode("overwrite")
+        if BLOOM_COLUMN in table.key:
+            # Footer ranges of one account's neighbours overlap between days; the filter tells files without it apart.
+            writer = writer.option(f"parquet.bloom.filter.enabled#{BLOOM_COLUMN}", "true")
+            writer = writer.option(f"parquet.bloom.filter.adaptive.enabled#{BLOOM_COLUMN}", "true")
+        writer.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(self.path(name))
 
 
 def _conform(rows: DataFrame, table: S.Table) -> DataFrame:

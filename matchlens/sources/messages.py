@@ -30,9 +30,12 @@ def read_text_stream(spark: SparkSession, path: str, files_per_batch: int | None
     return reader.load(path)
 
 
-def read_message_stream(spark: SparkSession, path: str) -> DataFrame:
+def read_message_stream(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
     """Win-rate messages (``topic``, ``value``, ``ts``) from JSON files in a folder."""
-    return spark.readStream.schema(S.WIN_RATE_MESSAGE).json(path)
+    reader = spark.readStream.schema(S.WIN_RATE_MESSAGE)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", str(files_per_batch))
+    return reader.json(path)
 
 
 def _readable(text: Column) -> Column:

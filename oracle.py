@@ -280,4 +280,64 @@ def oracle_sql() -> dict[str, str]:
   WHERE (year, month) IN (SELECT (year, month) FROM closed) GROUP BY ALL""",
         closed,
     )
+    sql["refresh_monthly_bitmaps"] = _matches(
+        """SELECT year, month, count(DISTINCT account_id) AS num FROM pm
+  WHERE (year, month) IN (SELECT (year, month) FROM closed) GROUP BY ALL""",
+        early,
+    )
+    sql["refresh_monthly_sketches_stored"] = _matches(
+        """SELECT year, month, count(DISTINCT account_id) AS num, true AS close FROM pm
+  WHERE (year, month) IN (SELECT (year, month) FROM closed) GROUP BY ALL""",
+        closed,
+    )
+    sql["mau_bitmaps"] = sql["mau_exact"]
+    late = {
+        delay: f"""(match_id % 3 = 0 AND date_trunc('day', started) + INTERVAL 1 DAY
+  <= (SELECT max(started) FROM v WHERE match_id % 3 <> 0) - INTERVAL {delay} MINUTE)"""
+        for delay in (90, 10)
+    }
+    sql["stream_late_dropped"] = _matches(
+        f"""SELECT CAST(hero_id AS VARCHAR) AS hero_id, {STARTED}, sum(win) / count(*) AS win_rate, count(*) AS count
+  FROM p WHERE {_CLOSED.format(90)} AND NOT {late[90]} GROUP BY ALL"""
+    )
+    sql["stream_late_clusters_dropped"] = _matches(
+        f"""SELECT cluster AS cluster_id, {STARTED}, CAST(count(*) * 10 AS BIGINT) AS num_of_players
+  FROM v WHERE {_CLOSED.format(10)} AND NOT {late[10]} GROUP BY ALL"""
+    )
+    rejects = f"""SELECT 'malformed' AS reason, match_id FROM v WHERE match_id % 3 <> 0 AND match_id % 7 = 0
+  UNION ALL SELECT 'late for heroes', match_id FROM v WHERE {late[90]}
+  UNION ALL SELECT 'late for clusters', match_id FROM v WHERE {late[10]}"""
+    sql["reject_rows"] = _matches(rejects)
+    sql["reject_totals"] = _matches(f"SELECT reason, count(*) AS lines FROM ({rejects}) GROUP BY reason")
+    outputs = {
+        "hero_win_rate": (f"SELECT hero_id, {STARTED}, count(*) AS x FROM p WHERE {_CLOSED.format(90)} GROUP BY ALL", "x"),
+        "region_num_of_players": (f"SELECT cluster, {STARTED}, count(*) * 10 AS x FROM v WHERE {_CLOSED.format(10)} GROUP BY ALL", "x"),
+        "player_match": ("SELECT account_id AS x FROM pm", "x"),
+        "daily_player": ("SELECT duration AS x FROM pm", "x"),
+        "match_simple": (f"SELECT {_SIMPLE} AS x FROM v", "length(x)"),
+        "messages": ("SELECT value AS x FROM messages", "length(x)"),
+    }
+    sql["stream_all_outputs"] = _matches(
+        " UNION ALL ".join(
+            f"SELECT '{name}' AS output, count(*) AS n, CAST(sum({total}) AS BIGINT) AS total FROM ({rows})"
+            for name, (rows, total) in outputs.items()
+        ),
+        PLAYER_MATCH + WINDOWS,
+    )
+    sql["stream_rolling_win_rate"] = sql["hero_rolling_win_rate"]
+    sql["stream_players_in_game"] = _matches(
+        """SELECT cluster_id, time, delta, CAST(sum(delta) OVER (PARTITION BY cluster_id ORDER BY time) AS BIGINT) AS players
+  FROM (SELECT cluster_id, time, CAST(sum(d) AS BIGINT) AS delta FROM (
+    SELECT cluster AS cluster_id, start_time AS time, 10 AS d FROM v
+    UNION ALL SELECT cluster, start_time + duration, -10 FROM v)
+    WHERE time <= (SELECT max(start_time) FROM v) - 90 * 60 GROUP BY cluster_id, time)"""
+    )
+    sql["live_values_from_state"] = sql["stream_live_values"]
+    sql["message_stream_values"] = _matches(
+        "SELECT topic, key, printf('%.3f', win_rate) AS value FROM messages", WINDOWS
+    )
+    sql["order_price_bands"] = """WITH o AS (SELECT CAST(round(o_totalprice * 100) AS BIGINT) AS cents FROM orders),
+  b AS (SELECT s_nationkey, CAST(min(round(s_acctbal * 100)) * 20 AS BIGINT) AS lo, CAST(max(round(s_acctbal * 100)) * 40 AS BIGINT) AS hi
+    FROM supplier GROUP BY s_nationkey)
+  SELECT s_nationkey, count(*) AS orders, CAST(sum(cents) AS BIGINT) AS cents FROM o JOIN b ON cents BETWEEN lo AND hi GROUP BY s_nationkey"""
     return sql
