@@ -16,7 +16,7 @@ from matchlens.operators import activity, expand, regions, sequence, winrate
 from matchlens.operators.bands import band_join
 from matchlens.operators.dates import new_dates, next_date
 from matchlens.operators.keyed import latest_values, newest_rows
-from matchlens.operators.validate import valid_matches
+from matchlens.operators.validate import drop_malformed, valid_matches
 from matchlens.plans import jobs, serving
 from matchlens.session import new_folder, stage
 from matchlens.sinks.exports import split_text, to_bare_json, to_crawler_lines, to_message_json, write_dump
@@ -29,7 +29,7 @@ from matchlens.sources.messages import parse_matches, parse_win_rate_messages, r
 from matchlens.streaming import in_game, intake, live_state, pipeline
 from matchlens.streaming.count_windows import live_values
 from matchlens.streaming.rolling import rolling_writer
-from matchlens.streaming.windows import cluster_player_windows, hero_win_rate_windows, with_event_time
+from matchlens.streaming.windows import arrival_windows, cluster_player_windows, hero_win_rate_windows, with_event_time
 
 Query = Callable[[SparkSession, str], DataFrame]
 TOP_K = 5
@@ -175,11 +175,11 @@ def _send(messages: DataFrame, root: str) -> None:
     messages.write.mode("append").text(f"{root}/in")
 
 
-def _live(spark: SparkSession, root: str, *names: str, files_per_batch: int | None = None) -> Tables:
+def _live(spark: SparkSession, root: str, *names: str, files_per_batch: int | None = None, drop_replays: bool = False) -> Tables:
     """Run the named live queries over the message files below ``root`` to the end, from where they stopped."""
     tables = Tables(spark, f"{root}/tables")
     lines = read_text_stream(spark, f"{root}/in", files_per_batch)
-    writers = pipeline.live_writers(lines, tables, root, f"{root}/checkpoints")
+    writers = pipeline.live_writers(lines, tables, root, f"{root}/checkpoints", drop_replays=drop_replays)
     for query in pipeline.start({name: writers[name] for name in names}, interval=None):
         query.awaitTermination()
     return tables
@@ -434,6 +434,50 @@ def _message_values(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.schema("topic string, key string, value string").parquet(f"{root}/values")
 
 
+def _message_batches(spark: SparkSession, folder: str) -> DataFrame:
+    """Messages of count windows that were open at the end of a run and filled after the restart."""
+
+    def run(root: str) -> None:
+        _live(spark, root, "count_windows")
+
+    root = _over_quarters(spark, folder, run)
+    return spark.read.schema("topic string, value string").json(f"{root}/live/messages").select("topic", "value")
+
+
+def _replays_dropped(spark: SparkSession, folder: str) -> DataFrame:
+    """Hero days of a stream in which every match comes twice."""
+    root = new_folder(spark, "live")
+    lines = to_message_json(matches(spark, folder))
+    _send(lines.unionByName(lines), root)
+    return _live(spark, root, "hero_days", drop_replays=True).read("hero_win_rate")
+
+
+def _arrivals(spark: SparkSession, folder: str) -> DataFrame:
+    """Players by hour of arrival, where a match arrives at its end; the last hours are still open."""
+    root = new_folder(spark, "live")
+    ended = F.timestamp_seconds(F.col("start_time") + F.col("duration"))
+    for part in _quarters(matches(spark, folder)):
+        with_end = part.withColumn("ended", ended)
+        message = F.to_json(F.struct("match_id", "radiant_win", "start_time", "duration", "cluster", "human_players", "game_mode", "players"))
+        with_end.select(message.alias("value"), "ended").write.mode("append").parquet(f"{root}/in")
+    stream = spark.readStream.schema("value string, ended timestamp").parquet(f"{root}/in")
+    parsed = valid_matches(drop_malformed(parse_matches(stream, "value", "ended")))
+    windows = arrival_windows(parsed, "1 hour", F.col("ended")).writeStream.format("parquet").option("path", f"{root}/windows")
+    windows.option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    found = spark.read.schema("cluster_id int, window_start timestamp, num_of_players bigint, latest bigint").parquet(f"{root}/windows")
+    return found.withColumn("window_start", F.unix_seconds("window_start"))
+
+
+def _split_dump(spark: SparkSession, folder: str) -> DataFrame:
+    """A dump in files of at most 40 lines: the matches read back, each with whether its file keeps the limit."""
+    path = new_folder(spark, "dump")
+    write_dump(matches(spark, folder), path, lines_per_file=40)
+    lines = spark.read.text(path).groupBy(F.input_file_name().alias("file")).agg(F.count(F.lit(1)).alias("lines"))
+    # Each file also has its header.
+    longest = F.lit(lines.agg(F.max("lines")).first()[0] or 0)
+    return _flat(read_dump(spark, path)).withColumn("within", longest <= 41)
+
+
 def _price_bands(spark: SparkSession, folder: str) -> DataFrame:
     """Orders whose price in cents lies in the span of each supplier nation's account balances, widened to prices."""
     cents = F.round(F.col("o_totalprice") * 100).cast("bigint")
@@ -459,6 +503,10 @@ def catalog() -> dict[str, Query]:
         "live_values_from_state": _live_from_state,
         "message_stream_values": _message_values,
         "order_price_bands": _price_bands,
+        "stream_messages_batches": _message_batches,
+        "stream_replays_dropped": _replays_dropped,
+        "arrival_windows": _arrivals,
+        "split_dump_roundtrip": _split_dump,
         "valid_matches": _on_matches(_flat),
         "hero_results": _on_matches(expand.hero_results),
         "hero_pairs": _on_matches(expand.hero_pairs),

@@ -1,6 +1,8 @@
 """The match dump: CSV with a header, 27 columns, the players as a JSON map in the last one.
 
 The crawler writes the same columns, but the players' text without quotes around it and with a comma after the last one.
+Columns between the numbers and the players may hold bare JSON too, whose commas would cut a CSV line in the wrong places.
+So a line is read from both ends: the 18 plain columns from the front, the map of ten flat objects from the back.
 """
 
 from __future__ import annotations
@@ -12,24 +14,22 @@ from matchlens import schema as S
 from matchlens.functions.columns import flag
 from matchlens.operators.validate import drop_malformed, parse_counts
 
-CSV_OPTIONS = {"quote": '"', "escape": '"', "mode": "PERMISSIVE"}
 # Parts of a split dump need no header. Header and empty lines are no records.
 NO_RECORD = r'^\s*$|^\W*match_id"?,'
-BARE_PLAYERS = r',(\{\s*"{1,2}\d+"{1,2}\s*:.*\})\s*$'
+PLAYERS = r',"?(\{\s*(?:"{1,2}\d+"{1,2}\s*:\s*\{[^{}]*\}[\s,]*){10}\})"?\s*$'
 
 
 def read_dump_lines(spark: SparkSession, path: str) -> DataFrame:
-    """The records of the dump as text columns and numbers; columns that no later step uses are not parsed.
+    """The records of the dump as numbers, flag text and players' text; columns that no later step uses are not parsed.
 
-    Players' text without quotes around it is taken from the end of the line, where commas do not cut it.
+    ``pgroup`` is null where the line does not end with ten players.
     """
     lines = spark.read.text(path).where(~F.col("value").rlike(NO_RECORD))
-    bare = F.regexp_extract("value", BARE_PLAYERS, 1)
-    columns = F.from_csv(F.regexp_replace("value", BARE_PLAYERS, ","), S.DUMP.simpleString()[len("struct<") : -1].replace(":", " "), CSV_OPTIONS)
-    players = F.regexp_replace(F.regexp_replace(bare, '""', '"'), r",\s*\}$", "}")
-    parts = lines.select(columns.alias("c"), players.alias("bare"))
-    kept = [F.col(f"c.{name}").alias(name) for name in S.DUMP.fieldNames() if name != "pgroup"]
-    return parts.select(*kept, F.when(F.col("bare") != "", F.col("bare")).otherwise(F.col("c.pgroup")).alias("pgroup"))
+    parts = F.split("value", ",", len(S.DUMP_COLUMNS) + 1)
+    text = [F.btrim(F.get(parts, F.lit(i)), F.lit('"')) for i in range(len(S.DUMP_COLUMNS))]
+    plain = [t.try_cast(f.dataType).alias(f.name) for t, f in zip(text, S.DUMP_COLUMNS)]
+    tail = F.regexp_replace(F.regexp_replace(F.regexp_extract("value", PLAYERS, 1), '""', '"'), r",\s*\}$", "}")
+    return lines.select(*plain, F.when(tail != "", tail).alias("pgroup"))
 
 
 def players_of(pgroup: Column) -> Column:

@@ -4,11 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from matchlens import schema as S
 from matchlens.functions.columns import flag, select_once
 from matchlens.sources.dump import sort_players
 
+# Where the JSON reader notes a text that it could not read to the end.
+BROKEN = "_broken"
+
 
 def read_kafka_stream(
     spark: SparkSession, servers: str, topics: str, starting: str = "latest", **options: str
@@ -47,12 +51,17 @@ def parse_matches(lines: DataFrame, text: str = "value", *keep: str) -> DataFram
     """Match columns from JSON text, all NULL when the text is not a match.
 
     Accepts valid JSON and the quote-less spelling of the message producer. The flag is read as text
-    so that ``true``, ``t``, ``"t"`` and ``1`` all work.
+    so that ``true``, ``t``, ``"t"`` and ``1`` all work. Of a text that is cut off, Spark's reader returns what came before
+    the cut; it is no match unless all its players are there.
     """
-    parsed = F.from_json(_readable(F.col(text)), S.MESSAGE, {"allowUnquotedFieldNames": "true"})
-    fields = [c for c in S.MESSAGE.fieldNames() if c not in ("radiant_win", "players")]
+    schema = T.StructType([*S.MESSAGE.fields, T.StructField(BROKEN, T.StringType())])
+    options = {"allowUnquotedFieldNames": "true", "columnNameOfCorruptRecord": BROKEN}
+    parsed = F.from_json(_readable(F.col(text)), schema, options)
+    fields = [c for c in S.MESSAGE.fieldNames() if c not in ("match_id", "radiant_win", "players")]
+    whole = F.col(f"m.{BROKEN}").isNull() | (F.coalesce(F.size("m.players"), F.lit(0)) == S.MATCH_PLAYERS)
     columns = [
         *[F.col(c) for c in keep],
+        F.when(whole, F.col("m.match_id")).alias("match_id"),
         *[F.col(f"m.{c}").alias(c) for c in fields],
         F.coalesce(flag(F.col("m.radiant_win")), F.lit(False)).alias("radiant_win"),
         sort_players(F.col("m.players")).alias("players"),

@@ -6,10 +6,11 @@ stream from, and the outputs without state; what no output counts goes to the re
 * ``malformed``: the text is not a match;
 * ``late for heroes``, ``late for clusters``: the match's day was closed for these windows when it came.
 
-A day is closed once the watermark, the latest start of all earlier micro-batches less the delay, has passed its end. This
-is the rule of Spark's own watermark, applied here before the windows would drop the row unseen. The log is read in the order
-in which it was written, so the watermarks of its readers are never ahead of the intake's and they drop nothing more:
-the reject table holds all late matches, each with the micro-batch it came in, through any number of restarts.
+A day is closed once the watermark, the latest start of all earlier micro-batches less the delay, has passed its end. The
+rule is applied here, before the windows would drop the row unseen. Spark's windows alone may take such a match for one more
+micro-batch, as they filter by the watermark before the newest one. The log is read in the order in which it was written, so the
+watermarks of its readers are never ahead of the intake's, and they drop nothing more: the reject table holds all late
+matches, each with the micro-batch it came in, through any number of restarts.
 """
 
 from __future__ import annotations

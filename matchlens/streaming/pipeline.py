@@ -31,7 +31,6 @@ from matchlens.streaming.windows import (
     with_event_time,
 )
 
-PARSE_METRICS = "parse"
 PARSE_COUNTS = "parse-counts"
 
 
@@ -95,7 +94,7 @@ def live_writers(
     counted = timed(match_delay).drop("ts") if drop_replays else matches
     return {
         "facts": facts_writer(
-            parse_matches(lines).observe(PARSE_METRICS, *parse_counts()),
+            parse_matches(lines),
             tables,
             f"{root}/{S.SIMPLE_TOPIC}",
             f"{checkpoints}/facts",
@@ -116,23 +115,7 @@ def start(writers: dict[str, DataStreamWriter], interval: str | None = "5 second
     return [writer.queryName(name).trigger(**trigger).start() for name, writer in writers.items()]
 
 
-def malformed_lines(query: StreamingQuery) -> int:
-    """Lines that were not matches, over the recent micro-batches of a query that observes parsing."""
-    observed = [p["observedMetrics"].get(PARSE_METRICS) for p in query.recentProgress]
-    return sum(o["malformed"] for o in observed if o)
-
-
 def parse_totals(spark: SparkSession, root: str) -> DataFrame:
     """``malformed`` and ``total`` lines over all micro-batches so far, restarts included, each batch once."""
     counts = spark.read.schema("malformed long, total long").json(f"{root}/{PARSE_COUNTS}")
     return counts.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("malformed", "total")])
-
-
-def late_rows(query: StreamingQuery) -> int:
-    """Rows that stateful operators dropped as too late over the recent micro-batches.
-
-    Not a count of matches: rows are counted after the tasks have combined them, and possibly by more
-    than one operator. Zero means that nothing was late.
-    """
-    operators = [o for p in query.recentProgress for o in p["stateOperators"]]
-    return sum(o["numRowsDroppedByWatermark"] for o in operators)

@@ -41,7 +41,8 @@ def roll_batch(batch: DataFrame, batch_id: int, root: str, size: int = S.HERO_WI
         new.drop("win").write.mode("overwrite").parquet(f"{root}/rolling/batch={batch_id}")
         last = Window.partitionBy("hero_id").orderBy(F.desc("position"))
         both = before.unionByName(new.select("hero_id", "position", F.col("win").cast("int").alias("win")))
-        newest = both.withColumn("_rank", F.row_number().over(last)).where(F.col("_rank") < size).drop("_rank")
+        # One row at least, which tells where the numbering goes on.
+        newest = both.withColumn("_rank", F.row_number().over(last)).where(F.col("_rank") <= max(size - 1, 1)).drop("_rank")
         carried.write(newest, batch_id)
     finally:
         delete_path(spark, folder)

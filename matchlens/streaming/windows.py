@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from matchlens import schema as S
 from matchlens.functions.columns import date_parts, event_time, utc_date
-from matchlens.operators.expand import cluster_info, hero_results
+from matchlens.operators.expand import hero_results
 
 
 def with_event_time(matches: DataFrame, delay: str = S.MATCH_DELAY) -> DataFrame:
@@ -53,9 +53,15 @@ def _slide(panes: DataFrame, key: str, sums: list[str], length: str, slide: str
     return panes.withColumn("window_start", F.col("window.start"))
 
 
-def arrival_windows(matches: DataFrame, length: str = "5 minutes") -> DataFrame:
-    """Players per cluster by arrival (processing) time instead of event time."""
-    arrived = cluster_info(matches).withColumn("arrived", F.current_timestamp()).withWatermark("arrived", "0 seconds")
+def arrival_windows(matches: DataFrame, length: str = "5 minutes", clock: Column | None = None) -> DataFrame:
+    """Players per cluster by arrival time instead of event time.
+
+    ``clock`` is when a row arrived, such as the time that the message source has stamped on it; by default it is the time
+    of the micro-batch. A window closes when a later arrival has passed its end.
+    """
+    stamped = matches.withColumn("arrived", F.current_timestamp() if clock is None else clock)
+    players = F.lit(S.MATCH_PLAYERS).cast("bigint").alias("players")
+    arrived = stamped.withWatermark("arrived", "0 seconds").select("arrived", F.col("cluster").alias("cluster_id"), "start_time", players)
     grouped = arrived.groupBy(F.window("arrived", length), "cluster_id").agg(
         F.sum("players").alias("num_of_players"), F.max("start_time").alias("latest")
     )

@@ -336,6 +336,14 @@ def oracle_sql() -> dict[str, str]:
     sql["message_stream_values"] = _matches(
         "SELECT topic, key, printf('%.3f', win_rate) AS value FROM messages", WINDOWS
     )
+    sql["stream_messages_batches"] = sql["stream_messages"]
+    sql["stream_replays_dropped"] = sql["stream_hero_days"]
+    sql["arrival_windows"] = _matches(
+        """SELECT cluster AS cluster_id, (start_time + duration) // 3600 * 3600 AS window_start,
+  CAST(count(*) * 10 AS BIGINT) AS num_of_players, max(start_time) AS latest FROM v
+  WHERE ((start_time + duration) // 3600 + 1) * 3600 <= (SELECT max(start_time + duration) FROM v) GROUP BY ALL"""
+    )
+    sql["split_dump_roundtrip"] = sql["dump_roundtrip"].replace(_FLAT, _FLAT.replace(" FROM", ", true AS within FROM", 1))
     sql["order_price_bands"] = """WITH o AS (SELECT CAST(round(o_totalprice * 100) AS BIGINT) AS cents FROM orders),
   b AS (SELECT s_nationkey, CAST(min(round(s_acctbal * 100)) * 20 AS BIGINT) AS lo, CAST(max(round(s_acctbal * 100)) * 40 AS BIGINT) AS hi
     FROM supplier GROUP BY s_nationkey)

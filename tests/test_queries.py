@@ -13,7 +13,7 @@ QUERIES, SQL = catalog(), oracle_sql()
 NEED_MEDIUM = {
     "hero_count_window", "pair_count_window", "counter_count_window", "win_rate_messages",
     "live_win_rate_latest", "stream_messages", "stream_live_values", "live_lookup", "bad_messages_ignored",
-    "orders_hll_close", "message_stream_values", "live_values_from_state", "stream_all_outputs",
+    "orders_hll_close", "message_stream_values", "stream_messages_batches", "live_values_from_state", "stream_all_outputs",
 }
 
 

@@ -85,13 +85,6 @@ def test_pipeline_outputs(spark, tmp_path, live):
     assert serving.live_rate(current, "counter,10,1").first()["value"] == "0.000"
 
 
-def test_malformed_lines_are_reported(spark, tmp_path):
-    put(tmp_path / "in", "a.txt", bare_text(1), "broken", "{}")
-    matches = pipeline.parsed_matches(read_text_stream(spark, str(tmp_path / "in")), pipeline.PARSE_METRICS)
-    query = finish(matches.writeStream.format("noop").option("checkpointLocation", str(tmp_path / "ck")))
-    assert pipeline.malformed_lines(query) == 2
-
-
 def test_malformed_totals_outlive_restarts(spark, tmp_path, live):
     """Totals come from a table by batch, not from the few progress entries that a query retains."""
     source = tmp_path / "in"
@@ -113,7 +106,6 @@ def test_late_matches_are_dropped(spark, tmp_path, live):
     put(source, "e.txt", bare_text(5, start=START + 2 * DAY + 3600 * 5), age=10)
     tables = live(names=["hero_days"])
     assert counts(tables) == {1: 1, 2: 2}
-    assert pipeline.late_rows(live.queries[0]) > 0
 
 
 def test_disorder_within_the_delay_is_kept(spark, tmp_path, live):
@@ -123,7 +115,6 @@ def test_disorder_within_the_delay_is_kept(spark, tmp_path, live):
     put(source, "c.txt", bare_text(3, start=START + DAY - 30), age=30)
     put(source, "d.txt", bare_text(4, start=START + 3 * DAY), age=20)
     assert counts(live(names=["hero_days"])) == {1: 2, 2: 1}
-    assert pipeline.late_rows(live.queries[0]) == 0
 
 
 def test_replays_count_unless_dropped(spark, tmp_path, live):
