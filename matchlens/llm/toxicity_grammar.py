@@ -1,17 +1,22 @@
 """Toxicity scores from a weighted finite-state grammar over clauses.
 
 A text is a sequence of symbols: insults and threats with weights learned from labels, targets, negations, reporting
-verbs, quotation marks and clause breaks. Small transducers each follow one of these over a clause; their
-product reads the clause once and puts out the weight of its insults together with the states that change what
-they mean: denied, reported, aimed at someone, joined with a threat. A logistic model over the matched clauses gives
-the score, so a word inside a denied or quoted clause counts as such a clause, not as the word.
+verbs, quotation marks and clause breaks. One small transducer follows each of these: it reads symbols, changes between
+two states and adds a mark to some of the symbols it passes on. Negation marks later insults and threats of the clause as
+denied, an open quotation marks them as quoted; a reporting verb, a target, an insult and a threat mark the break that ends
+their clause. The transducers are composed once into one table, which reads a text symbol by symbol and adds up the
+weights of each clause by their marks. A logistic model over the matched clauses gives the score, so a word inside a
+denied or reported clause counts as such a clause, not as the word.
 """
 
 from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Hashable, Iterable, Iterator
+from dataclasses import dataclass
+from functools import reduce
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -20,7 +25,7 @@ from pyspark.sql import functions as F
 
 from matchlens.llm.common import id_crc, stage, text_of
 
-# Fixed word classes of the grammar; insults are learned.
+# Fixed word classes of the grammar; insults and the weights of threats are learned.
 THREATS = frozenset("kill hurt destroy beat burn shoot stab crush attack punish töten schlagen vernichten tuer frapper détruire matar golpear destruir".split())
 TARGETS = frozenset("you your yours he him she her they them their du dich dein ihr euch sie tu te toi vous votre ils elles tú ti usted ustedes ellos".split())
 NEGATIONS = frozenset("not no never neither nor nicht kein keine nie ne pas jamais aucun nunca jamás ningún".split())
@@ -28,18 +33,15 @@ REPORTS = frozenset("said says say told reported called claims wrote sagte sagt
 TOKENS = re.compile(r"[^\W\d_]+|[.;:!?|\n\"“”«»]")
 BREAKS, QUOTES = frozenset(".;:!?|\n"), frozenset('"“”«»')
 
-OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT, QUOTE, BREAK = range(8)
 PREFIXES = range(4, 9)
-MIN_SHARE = 0.004
-MIN_DOCS = 3
 MIN_LOG_ODDS = 2.0
-MAX_PATTERNS = 50_000
+ERRORS = 2.0
 LEXICON_ROWS = 200_000
 FIT_ROWS = 20_000
 SHARES = 1 << 30
 FLUSH = 200_000
 CACHED_WORDS = 300_000
-FEATURES = ("plain_max", "plain_sum", "plain_clauses", "denied", "reported", "aimed", "threat", "hits")
+FEATURES = ("plain_max", "plain_sum", "plain_clauses", "denied", "reported", "aimed", "threat", "weak_threat", "hits")
 
 
 def patterns_of(word: str) -> list[str]:
@@ -52,60 +54,159 @@ def distinct_patterns(text: str) -> set[str]:
     return {p for w in words for p in patterns_of(w)}
 
 
-def _pattern_counts(texts: DataFrame, wanted: frozenset[str] | None) -> DataFrame:
-    """(pattern, n): number of texts that hold each pattern, of the wanted ones if given."""
+def pattern_counts(texts: DataFrame) -> DataFrame:
+    """(pattern, n, m): number of toxic and of clean texts (text, toxic) that hold each pattern."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter[str] = Counter()
+        clean: Counter[str] = Counter()
+        toxic: Counter[str] = Counter()
 
         def out() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], names=["pattern", "n"])
+            patterns = list(toxic.keys() | clean.keys())
+            numbers = [pa.array([c[p] for p in patterns], pa.int64()) for c in (toxic, clean)]
+            return pa.RecordBatch.from_arrays([pa.array(patterns, pa.string()), *numbers], names=["pattern", "n", "m"])
 
         for batch in batches:
-            for text in batch.column(0):
-                found = distinct_patterns(text.as_py())
-                counts.update(found if wanted is None else found & wanted)
-                if len(counts) > FLUSH:
+            for text, label in zip(batch.column(0), batch.column(1).to_pylist()):
+                (toxic if label else clean).update(distinct_patterns(text.as_py()))
+                if len(toxic) + len(clean) > FLUSH:
                     yield out()
-                    counts.clear()
-        if counts:
+                    toxic.clear()
+                    clean.clear()
+        if toxic or clean:
             yield out()
 
-    return texts.select("text").mapInArrow(work, "pattern string, n long").groupBy("pattern").agg(F.sum("n").alias("n"))
+    parts = texts.select("text", "toxic").mapInArrow(work, "pattern string, n long, m long")
+    return parts.groupBy("pattern").agg(F.sum("n").alias("n"), F.sum("m").alias("m"))
 
 
-def learn_insults(labelled: DataFrame) -> dict[str, float]:
-    """Log odds of the patterns of (text, toxic) that mark toxic texts.
+def learn_weights(labelled: DataFrame) -> tuple[dict[str, float], dict[str, float]]:
+    """Weights of insults and of threats from (doc_id, text, toxic); equal texts count once.
 
-    A pattern must occur in MIN_SHARE of the toxic texts, so their number is bounded by patterns a text over that
-    share, whatever the size of the table; MAX_PATTERNS guards the bound, the commonest go first.
+    An insult is a pattern whose log odds for toxic texts exceed MIN_LOG_ODDS by ERRORS standard errors, however rare it is;
+    its weight are the log odds. Counting and choosing are one aggregation, and only the chosen ones reach the driver.
+    The labelled sample bounds their number. A threat weighs 1 and as much more as its log odds surely exceed 0.
     """
-    sizes = labelled.agg(F.sum((F.col("toxic") == 1).cast("long")).alias("pos"), F.sum((F.col("toxic") == 0).cast("long")).alias("neg")).first()
+    first = labelled.groupBy(F.xxhash64("text", "toxic")).agg(F.min("doc_id").alias("doc_id"))
+    once = labelled.join(F.broadcast(first), "doc_id", "left_semi")
+    sizes = once.agg(F.sum((F.col("toxic") == 1).cast("long")).alias("pos"), F.sum((F.col("toxic") == 0).cast("long")).alias("neg")).first()
     pos, neg = sizes["pos"] or 0, sizes["neg"] or 0
     if not pos or not neg:
-        return {}
-    least = max(MIN_DOCS, MIN_SHARE * pos)
-    common = _pattern_counts(labelled.where("toxic = 1"), None).where(F.col("n") >= least)
-    seen = {r["pattern"]: r["n"] for r in common.orderBy(F.desc("n"), "pattern").limit(MAX_PATTERNS).collect()}
-    clean = _pattern_counts(labelled.where("toxic = 0"), frozenset(seen))
-    against = {r["pattern"]: r["n"] for r in clean.collect()}
-    odds = lambda p, n: np.log((n + 0.5) / (pos + 1)) - np.log((against.get(p, 0) + 0.5) / (neg + 1))
-    return {p: float(w) for p, n in seen.items() if (w := odds(p, n)) >= MIN_LOG_ODDS}
+        return {}, {}
+    odds = F.log((F.col("n") + 0.5) / (pos + 1)) - F.log((F.col("m") + 0.5) / (neg + 1))
+    error = F.sqrt(1 / (F.col("n") + 0.5) + 1 / (F.col("m") + 0.5))
+    known = pattern_counts(once).withColumn("odds", odds).withColumn("surely", odds - ERRORS * error)
+    rows = known.where((F.col("surely") >= MIN_LOG_ODDS) | F.col("pattern").isin(sorted(THREATS))).collect()
+    insults = {r["pattern"]: r["odds"] for r in rows if r["surely"] >= MIN_LOG_ODDS}
+    return insults, {r["pattern"]: 1 + max(0.0, r["surely"]) for r in rows if r["pattern"] in THREATS}
 
 
-class Grammar:
-    """The product of the transducers, run over the symbols of a text."""
+Symbol = frozenset[str]
 
-    def __init__(self, insults: dict[str, float]):
-        self.insults = insults
-        self.known: dict[str, tuple[int, float]] = {}
 
-    def symbol(self, token: str) -> tuple[int, float]:
-        weight = max((self.insults.get(p, 0.0) for p in patterns_of(token)), default=0.0)
-        for kind, words in ((THREAT, THREATS), (TARGET, TARGETS), (NEGATION, NEGATIONS), (REPORT, REPORTS), (QUOTE, QUOTES), (BREAK, BREAKS)):
+@dataclass(frozen=True)
+class Transducer:
+    """Arcs (state, symbol read) to (next state, symbol put out), over all symbols it can meet."""
+
+    start: Hashable
+    arcs: dict[tuple[Hashable, Symbol], tuple[Hashable, Symbol]]
+
+    def outputs(self) -> set[Symbol]:
+        return {out for _, out in self.arcs.values()}
+
+
+def switch(symbols: Iterable[Symbol], on: str, off: str, marked: set[str], mark: str) -> Transducer:
+    """A two-state transducer: ``on`` opens it, ``off`` closes it; while open, it adds ``mark`` to symbols of the ``marked`` kinds.
+
+    With ``on`` equal to ``off`` such symbols open and close it in turns. A symbol that closes it is still marked.
+    """
+    arcs = {}
+    for symbol in symbols:
+        for state in (False, True):
+            then = not state if on == off and on in symbol else on in symbol or state and off not in symbol
+            arcs[state, symbol] = (then, symbol | {mark} if state and symbol & marked else symbol)
+    return Transducer(False, arcs)
+
+
+def compose(first: Transducer, second: Transducer) -> Transducer:
+    """``second`` reads what ``first`` puts out; only states that can be reached."""
+    symbols = {symbol for _, symbol in first.arcs}
+    start = (first.start, second.start)
+    arcs, seen, left = {}, {start}, [start]
+    while left:
+        state = left.pop()
+        for symbol in symbols:
+            a, between = first.arcs[state[0], symbol]
+            b, out = second.arcs[state[1], between]
+            arcs[state, symbol] = ((a, b), out)
+            if (a, b) not in seen:
+                seen.add((a, b))
+                left.append((a, b))
+    return Transducer(start, arcs)
+
+
+KINDS = ("insult", "threat", "target", "negation", "report", "quote", "break")
+HITS = {"insult", "threat"}
+
+
+def clause_grammar() -> Transducer:
+    """Negation, reported speech (quotations and verbs), target, insult and threat, composed in this order."""
+    rules = [
+        ("negation", "break", HITS, "denied"),
+        ("quote", "quote", HITS, "quoted"),
+        ("report", "break", {"break"}, "reported"),
+        ("target", "break", {"break"}, "aimed"),
+        ("insult", "break", {"break"}, "insulting"),
+        ("threat", "break", {"break"}, "threatening"),
+    ]
+    whole = switch([frozenset({k}) for k in KINDS], *rules[0])
+    return reduce(lambda built, rule: compose(built, switch(built.outputs(), *rule)), rules[1:], whole)
+
+
+class Clause(NamedTuple):
+    """Weights of the insults and threats of a clause, plain, denied and quoted, its number of insults, and its marks."""
+
+    insults: tuple[float, float, float]
+    threats: tuple[float, float, float]
+    hits: int
+    reported: bool
+    aimed: bool
+
+
+class Grammar:
+    """The composed table, run over the symbols of a text."""
+
+    def __init__(self, insults: dict[str, float], threats: dict[str, float] | None = None):
+        self.insults, self.threats = insults, threats or {}
+        self.known: dict[str, tuple[int, float] | None] = {}
+        whole = clause_grammar()
+        numbers = {whole.start: 0}
+        for state, _ in whole.arcs:
+            numbers.setdefault(state, len(numbers))
+        self.table: list[list] = [[None] * len(KINDS) for _ in numbers]
+        for (state, symbol), (then, out) in whole.arcs.items():
+            kind = next(k for k in KINDS if k in symbol)
+            self.table[numbers[state]][KINDS.index(kind)] = (numbers[then], self.action(kind, out))
+
+    @staticmethod
+    def action(kind: str, out: Symbol) -> int | tuple[bool, bool] | None:
+        """What an arc does: add to one of six sums, end a matched clause (reported, aimed), or, as -1, an unmatched one."""
+        if kind in HITS:
+            return 3 * (kind == "threat") + (1 if "denied" in out else 2 if "quoted" in out else 0)
+        if kind != "break":
+            return None
+        matched = "insulting" in out or {"threatening", "aimed"} <= out
+        return ("reported" in out, "aimed" in out) if matched else -1
+
+    def symbol(self, token: str) -> tuple[int, float] | None:
+        """Kind and weight of a token, none for words outside the grammar. The fixed classes go before learned insults."""
+        if token in THREATS:
+            return KINDS.index("threat"), self.threats.get(token, 1.0)
+        for kind, words in (("target", TARGETS), ("negation", NEGATIONS), ("report", REPORTS), ("quote", QUOTES), ("break", BREAKS)):
             if token in words:
-                return kind, 0.0
-        return (INSULT, weight) if weight > 0 else (OTHER, 0.0)
+                return KINDS.index(kind), 0.0
+        weight = max((self.insults.get(p, 0.0) for p in patterns_of(token)), default=0.0)
+        return (KINDS.index("insult"), weight) if weight > 0 else None
 
     def symbols(self, text: str) -> list[tuple[int, float]]:
         tokens = TOKENS.findall(text.lower())
@@ -114,52 +215,42 @@ class Grammar:
             known.clear()
         for token in set(tokens).difference(known):
             known[token] = self.symbol(token)
-        return [known[t] for t in tokens]
-
-    def clauses(self, text: str) -> list[tuple[float, int, bool, bool, bool, bool]]:
-        """(insult weight, insults, denied, reported, aimed, threatened) of each clause with an insult or a threat.
-
-        A negation denies what follows it in its clause. A reporting verb or an open quotation marks the whole clause; a
-        quotation goes on over breaks until it closes.
-        """
-        out = []
-        weight, insults, denying, denied, reported, aimed, threat, quoted = 0.0, 0, False, False, False, False, False, False
-        for kind, value in [*self.symbols(text), (BREAK, 0.0)]:
-            if kind == OTHER:
+        return [s for t in tokens if (s := known[t])]
+
+    def clauses(self, text: str) -> list[Clause]:
+        """The clauses with an insult, or with a threat and a target. A quotation goes on over breaks until it closes."""
+        out: list[Clause] = []
+        symbols = self.symbols(text)
+        if not any(kind < 2 for kind, _ in symbols):
+            return out
+        state, hits, sums = 0, 0, [0.0] * 6
+        for kind, weight in [*symbols, (KINDS.index("break"), 0.0)]:
+            state, action = self.table[state][kind]
+            if action is None:
+                continue
+            if kind < 2:
+                sums[action] += weight
+                hits += kind == 0
                 continue
-            if kind == INSULT:
-                weight, insults = weight + value, insults + 1
-                denied |= denying
-                reported |= quoted
-            elif kind == THREAT:
-                threat = not denying
-            elif kind == TARGET:
-                aimed = True
-            elif kind == NEGATION:
-                denying = True
-            elif kind == REPORT:
-                reported = True
-            elif kind == QUOTE:
-                quoted = not quoted
-            else:
-                if insults or threat and aimed:
-                    out.append((weight, insults, denied, reported, aimed, threat))
-                weight, insults, denying, denied, reported, aimed, threat = 0.0, 0, False, False, False, False, False
+            if action != -1:
+                out.append(Clause(tuple(sums[:3]), tuple(sums[3:]), hits, *action))
+            hits, sums = 0, [0.0] * 6
         return out
 
     def features(self, text: str) -> list[float]:
         found = self.clauses(text)
-        plain = [c[0] for c in found if c[1] and not c[2] and not c[3]]
-        return [
-            max(plain, default=0.0),
-            float(np.log1p(sum(plain))),
-            float(np.log1p(len(plain))),
-            float(np.log1p(sum(c[0] for c in found if c[2]))),
-            float(np.log1p(sum(c[0] for c in found if c[3]))),
-            float(np.log1p(sum(c[0] for c in found if c[4]))),
-            float(sum(c[5] and c[4] for c in found) > 0),
-            float(np.log1p(sum(c[1] for c in found))),
+        plain = [c.insults[0] for c in found if c.insults[0] and not c.reported]
+        sums = [
+            sum(plain),
+            len(plain),
+            sum(c.insults[1] for c in found),
+            sum(c.insults[2] + c.insults[0] * c.reported for c in found),
+            sum(sum(c.insults) for c in found if c.aimed),
+            sum(c.threats[0] for c in found if c.aimed and not c.reported),
+            sum(c.threats[1] + c.threats[2] + c.threats[0] * c.reported for c in found if c.aimed),
+            sum(c.hits for c in found),
         ]
+        return [max(plain, default=0.0), *(float(np.log1p(x)) for x in sums)]
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int = 50) -> np.ndarray:
@@ -208,12 +299,12 @@ def score(
     held = F.pmod(id_crc(), F.lit(folds)) == held_fold
     base = docs.select("doc_id", held.alias("held_out"), text_of().alias("text"))
     sample, found = sampled_labels(labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").where(~held), lexicon_rows)
-    texts = base.where(~F.col("held_out")).join(F.broadcast(sample), "doc_id").select("text", "toxic")
-    insults = learn_insults(stage(texts, "labelled"))
+    texts = base.where(~F.col("held_out")).join(F.broadcast(sample), "doc_id").select("doc_id", "text", "toxic")
+    insults, threats = learn_weights(stage(texts, "labelled"))
     id_type = base.schema["doc_id"].dataType.simpleString()
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        grammar = Grammar(insults)
+        grammar = Grammar(insults, threats)
         for batch in batches:
             rows = [grammar.features(t.as_py()) for t in batch.column(2)]
             values = pa.array(rows, pa.list_(pa.float64()))

@@ -218,15 +218,62 @@ def test_insults_are_learned_and_clauses_matter(make, spark):
     scored = toxicity_grammar.score(make(rows), labels).collect()
     assert all(r.predicted == (r.doc_id % 4 == 0) for r in scored)
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) for r in scored)
-    grammar = toxicity_grammar.Grammar({"zorgel": 3.0})
+
+
+def test_clauses_of_sentences():
+    grammar = toxicity_grammar.Grammar({"zorgel": 3.0}, {"kill": 2.0})
+    clause, none = toxicity_grammar.Clause, (0.0, 0.0, 0.0)
     assert grammar.clauses("You are a zorgel. Not a zorgel! He said zorgel; \"zorgel. zorgel\" fine") == [
-        (3.0, 1, False, False, True, False),
-        (3.0, 1, True, False, False, False),
-        (3.0, 1, False, True, True, False),
-        (3.0, 1, False, True, False, False),
-        (3.0, 1, False, True, False, False),
+        clause((3.0, 0.0, 0.0), none, 1, False, True),
+        clause((0.0, 3.0, 0.0), none, 1, False, False),
+        clause((3.0, 0.0, 0.0), none, 1, True, True),
+        clause((0.0, 0.0, 3.0), none, 1, False, False),
+        clause((0.0, 0.0, 3.0), none, 1, False, False),
     ]
-    assert grammar.clauses("I will kill you") == [(0.0, 0, False, False, True, True)]
+    assert grammar.clauses("I will kill you") == [clause(none, (2.0, 0.0, 0.0), 0, False, True)]
+    assert grammar.clauses("I will kill you and not hurt him") == [clause(none, (2.0, 1.0, 0.0), 0, False, True)]
+    assert grammar.clauses("You zorgel, not a zorgel") == [clause((3.0, 3.0, 0.0), none, 2, False, True)]
+    assert not grammar.clauses("We kill time") and not grammar.clauses("")
+    plain, told = grammar.features("I will kill you"), grammar.features("He said I will kill you")
+    threat, weak = (toxicity_grammar.FEATURES.index(f) for f in ("threat", "weak_threat"))
+    assert plain[threat] > 0 == plain[weak] and told[weak] > 0 == told[threat]
+
+
+def test_composed_grammar_equals_a_plain_reading():
+    rng = random.Random(3)
+    grammar = toxicity_grammar.Grammar({"zorgel": 3.0, "blar*": 2.5}, {"kill": 2.0})
+    weights = {"zorgel": 3.0, "blarfing": 2.5, "kill": 2.0, "hurt": 1.0}
+    words = ["zorgel", "blarfing", "kill", "hurt", "you", "not", "said", '"', ".", "!", "stone"]
+    for _ in range(2000):
+        tokens = [rng.choice(words) for _ in range(rng.randint(0, 25))]
+        wanted, quoted, clause = [], False, []
+        for token in [*tokens, "."]:
+            if token == '"':
+                quoted = not quoted
+            elif token not in ".!":
+                clause.append((token, quoted))
+            if token not in ".!":
+                continue
+            plain = [t for t, _ in clause]
+            sums = {"insult": [0.0] * 3, "threat": [0.0] * 3}
+            for i, (word, inside) in enumerate(clause):
+                if word in weights:
+                    kind = "threat" if word in ("kill", "hurt") else "insult"
+                    sums[kind][1 if "not" in plain[:i] else 2 if inside else 0] += weights[word]
+            hits = sum(w in ("zorgel", "blarfing") for w in plain)
+            if hits or any(sums["threat"]) and "you" in plain:
+                wanted.append((tuple(sums["insult"]), tuple(sums["threat"]), hits, "said" in plain, "you" in plain))
+            clause = []
+        assert [tuple(c) for c in grammar.clauses(" ".join(tokens))] == wanted, tokens
+
+
+def test_rare_insults_are_learned_without_a_cap(make, spark):
+    # 15 of 5,000 toxic texts hold the word, 0.3 %: rarity alone must not drop it, and copies of one text must not raise one.
+    words = lambda i: "quark" if i < 15 else "glimmer" if i < 40 else "moss"
+    rows = [(i, f"stone river{i % 7} {words(i)} {0 if 15 <= i < 40 else i}", int(i < 5000)) for i in range(30_000)]
+    frame = spark.createDataFrame([(i, t if i < 15 or i >= 40 else "copied glimmer", y) for i, t, y in rows], "doc_id long, text string, toxic int")
+    insults, threats = toxicity_grammar.learn_weights(frame)
+    assert "quark" in insults and "glimmer" not in insults and "stone" not in insults and threats == {}
 
 
 def test_codewords_are_apart():
