@@ -116,17 +116,18 @@ def judged(docs: DataFrame, carry: list[str], limits: Limits = Limits()) -> Data
     """``carry`` columns of every row, with ``__counts``, ``__base_failed`` and ``__kept``.
 
     Rows without a host (null source) get no host verdict. Null and empty texts have no words and fail the
-    base rules. Repeated rows count as often as they occur. An empty table gives an empty result.
+    base rules. Repeated rows count as often as they occur. An empty table gives an empty result. Every text is counted
+    once: the rows are staged with their counts, and the hosts' totals read only those two columns.
     """
+    rows = stage(counted(docs, carry), "counted")
     totals = (
-        counted(docs, [])
-        .groupBy(F.col("__host").alias("host"))
+        rows.groupBy(F.col("__host").alias("host"))
         .agg(F.count("*").alias("n_docs"), F.sum(rule_failed(limits).cast("long")).alias("n_failed"))
     )
     totals = stage(totals.where("host IS NOT NULL"), "hosts")
     # Staged, so that Spark knows its size and broadcasts it only when small.
     rejected = stage(host_verdicts(totals, limits).where("rejected").select(F.col("host").alias("__host"), F.lit(True).alias("__bad")), "verdicts")
-    rows = counted(docs, carry).withColumn("__base_failed", base_failed(limits)).join(rejected, "__host", "left")
+    rows = rows.withColumn("__base_failed", base_failed(limits)).join(rejected, "__host", "left")
     kept = ~F.col("__base_failed") & F.col("__bad").isNull()
     return rows.select(*carry, "__counts", "__base_failed", kept.alias("__kept"))
 
