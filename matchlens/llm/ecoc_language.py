@@ -14,6 +14,7 @@ from functools import cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,6 +23,7 @@ from matchlens.llm.common import id_crc, stage, text_of
 BUCKETS = 1 << 15
 ORDERS = (1, 2, 3)
 CHUNK = 1 << 19
+SALTS = 256
 SMOOTHING = 0.5
 SHARPNESS = 4.0
 AMBIGUOUS = 0.1
@@ -73,7 +75,8 @@ def _slices(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarr
     for i, text in enumerate(texts):
         for at in range(0, max(len(text), 1), CHUNK):
             # A slice repeats the last letters of the one before, so no n-gram of a long text is lost; a handful count twice.
-            part = text[max(0, at - reach) : at + CHUNK] + " " * reach
+            # Spaces on both sides, so that no n-gram takes letters of two texts.
+            part = " " * (0 if at else reach) + text[max(0, at - reach) : at + CHUNK] + " " * reach
             held.append(part)
             owners.append(i)
             size += len(part)
@@ -124,8 +127,12 @@ def codebook(languages: int, seed: int = 7) -> np.ndarray:
     return best
 
 
-def gram_counts(texts: DataFrame) -> dict[str, np.ndarray]:
-    """N-gram counts of each language of (lang, text): BUCKETS numbers a language, whatever the number of texts."""
+def gram_counts(texts: DataFrame, salts: int = SALTS) -> dict[str, np.ndarray]:
+    """N-gram counts of each language of (lang, text): BUCKETS numbers a language, whatever the number of texts.
+
+    Each task sends one block of counts a language. They are added up in ``salts`` groups of tasks first and then by
+    language, so no group holds the blocks of all tasks.
+    """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[str, np.ndarray] = {}
@@ -140,14 +147,17 @@ def gram_counts(texts: DataFrame) -> dict[str, np.ndarray]:
                         total += np.bincount(buckets, minlength=BUCKETS)
         if counts:
             blobs = [c.tobytes() for c in counts.values()]
-            yield pa.RecordBatch.from_arrays([pa.array(list(counts)), pa.array(blobs, pa.binary())], names=["lang", "counts"])
+            salt = [TaskContext.get().partitionId() % salts] * len(blobs)
+            arrays = [pa.array(list(counts)), pa.array(salt, pa.int32()), pa.array(blobs, pa.binary())]
+            yield pa.RecordBatch.from_arrays(arrays, names=["lang", "salt", "counts"])
 
     def add(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         total = sum(np.frombuffer(b, dtype=np.int64) for b in group["counts"])
         return pd.DataFrame({"lang": [key[0]], "counts": [total.tobytes()]})
 
     schema = "lang string, counts binary"
-    summed = texts.mapInArrow(work, schema).groupBy("lang").applyInPandas(add, schema)
+    parts = texts.mapInArrow(work, "lang string, salt int, counts binary").groupBy("lang", "salt").applyInPandas(add, schema)
+    summed = parts.groupBy("lang").applyInPandas(add, schema)
     return {r["lang"]: np.frombuffer(r["counts"], dtype=np.int64) for r in summed.collect()}
 
 
