@@ -210,6 +210,29 @@ def test_bad_hosts_are_rejected_small_ones_shrunk(make, spark):
     assert kept[2001] and kept[3000]
 
 
+def test_host_verdicts_equal_a_plain_reading(make, spark):
+    """Beta prior by moments over the hosts, low end of the shrunk rate, verdicts of whole hosts, in plain Python."""
+    rng = random.Random(8)
+    good = " ".join(f"word{i}" for i in range(30))
+    shares = {"a": 0.05, "b": 0.95, "c": 0.7, "d": 0.66, "e": 0.3, "tiny": 1.0}
+    rows = [(h, rng.random() < share) for h, share in shares.items() for _ in range(2 if h == "tiny" else 120)]
+    docs = spark.createDataFrame([(i, "few words" if bad else good, h) for i, (h, bad) in enumerate(rows)], "doc_id long, text string, source string")
+    limits = rules.Limits()
+    sizes = {h: (sum(x == h for x, _ in rows), sum(x == h and bad for x, bad in rows)) for h in shares}
+    whole = sum(n for n, _ in sizes.values())
+    mean = sum(f for _, f in sizes.values()) / whole
+    variance = sum(n * (f / n) ** 2 for n, f in sizes.values()) / whole - mean**2
+    strength = min(max(mean * (1 - mean) / variance - 1, 1.0), 1000.0)
+    rejected = set()
+    for host, (n, failed) in sizes.items():
+        rate = (mean * strength + failed) / (strength + n)
+        if rate - limits.deviations * (rate * (1 - rate) / (strength + n + 1)) ** 0.5 > limits.max_host_rate:
+            rejected.add(host)
+    assert {"b"} <= rejected < set(shares) and "tiny" not in rejected
+    kept = {r.doc_id: r.kept for r in rules.verdicts(docs, limits).collect()}
+    assert kept == {i: not bad and h not in rejected for i, (h, bad) in enumerate(rows)}
+
+
 def test_insults_are_learned_and_clauses_matter(make, spark):
     random.seed(0)
     plain = lambda: " ".join(random.choice("river stone cloud field lamp chair".split()) for _ in range(20))
@@ -298,6 +321,19 @@ def test_long_texts_are_summed_in_slices():
     assert abs(n[0] - 2 * m[0]) <= 20 and np.allclose(whole[0], 2 * half[0], rtol=1e-3)
 
 
+def test_language_counts_do_not_depend_on_the_tasks(spark):
+    rows = [(random.Random(i).choice(["xx", "yy"]), f"word{i} Größe\u00e9 {i % 5} lorem" * (i % 4)) for i in range(300)]
+    frame = spark.createDataFrame(rows, "lang string, text string")
+    one, many = (ecoc.gram_counts(frame.repartition(n), salts=2) for n in (1, 5))
+    assert set(one) == set(many) == {"xx", "yy"}
+    assert all((one[k] == many[k]).all() and one[k].sum() > 0 for k in one)
+    texts = [t for _, t in rows if t]
+    weights = np.random.default_rng(1).normal(size=(ecoc.BUCKETS, 3)).astype(np.float32)
+    together, alone = ecoc.gram_sums(texts, weights), [ecoc.gram_sums([t], weights) for t in texts]
+    assert (together[1] == np.concatenate([n for _, n in alone])).all()
+    assert np.allclose(together[0], np.concatenate([s for s, _ in alone]))
+
+
 def test_perfect_hash_is_minimal():
     rng = np.random.default_rng(0)
     a, b = rng.integers(-(1 << 62), 1 << 62, (2, 5000))
