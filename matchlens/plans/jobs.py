@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from matchlens.operators import activity
 from matchlens.operators.dates import in_month, new_dates, next_date, on_day
-from matchlens.sinks.tables import STREAM_TABLES, Tables
+from matchlens.sinks.tables import MICRO_BATCH, STREAM_TABLES, Tables
 
 Day = tuple[int, int, int]
 JOB = "activity"
@@ -25,6 +28,14 @@ def in_months(months: list[tuple[int, int]]) -> Column:
     return F.struct("year", "month").isin(wanted)
 
 
+def newer_than(seen: dict[Day, int]) -> Column:
+    """Filter on date and batch columns: facts of these days from later micro-batches than those seen (-1: none yet)."""
+    days_at: dict[int, list[Day]] = {}
+    for day, batch in seen.items():
+        days_at.setdefault(batch, []).append(day)
+    return reduce(or_, [in_days(days) & (F.expr(MICRO_BATCH) > batch) for batch, days in days_at.items()])
+
+
 def run_player_daily(tables: Tables, day: str) -> None:
     """Per-player totals of one day (``yyyy-MM-dd``)."""
     tables.upsert("player_daily", activity.player_daily(tables.read("player_match", on_day(day))))
@@ -77,18 +88,23 @@ def pending_dates(tables: Tables, job: str = JOB, after: str | None = None) -> D
 
 
 def refresh_bitmaps(tables: Tables, months: list[tuple[int, int]]) -> list[Day]:
-    """Store the users of the days of these months whose facts are newer than their bitmaps; returns these days.
+    """Add the users of newer facts to the bitmaps of the days of these months; returns the days that had some.
 
-    Only the facts of these days are read. They are logged like the days of a job, after their bitmaps are there.
+    Only micro-batches that came after a day's bitmaps are read. A user who is added twice counts once, so an interrupted
+    run can be repeated. Days are logged like those of a job, after their bitmaps are there.
     """
-    seen = tables.read("processed_dates", F.col("job") == BITMAP_JOB).select(*DATE, F.col("batch").alias("seen"))
-    newest = tables.newest_batches("daily_player").where(in_months(months)).join(seen, DATE, "left")
-    changed = newest.where(F.col("seen").isNull() | (F.col("batch") > F.col("seen")))
+    logged = tables.read("processed_dates", F.col("job") == BITMAP_JOB).select(*DATE, F.col("batch").alias("seen"))
+    newest = tables.newest_batches("daily_player").where(in_months(months)).join(logged, DATE, "left")
+    changed = newest.withColumn("seen", F.coalesce("seen", F.lit(-1))).where("batch > seen")
     # Dates only: at most one small row per calendar day.
-    batch_of = {(r.year, r.month, r.day): r.batch for r in changed.collect()}
+    found = changed.collect()
+    batch_of = {(r.year, r.month, r.day): r.batch for r in found}
     days = sorted(batch_of)
     if days:
-        tables.upsert("daily_user_bitmap", activity.user_bitmaps(tables.read("daily_player", in_days(days))))
+        seen = {(r.year, r.month, r.day): r.seen for r in found}
+        fresh = activity.user_bitmaps(tables.read_batches("daily_player", newer_than(seen)))
+        both = fresh.unionByName(tables.read("daily_user_bitmap", in_days(days)))
+        tables.upsert("daily_user_bitmap", activity.merge_bitmaps(both, activity.DAY))
         log_days(tables, BITMAP_JOB, batch_of)
     return days
 

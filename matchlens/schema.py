@@ -123,6 +123,14 @@ _TABLES = (
         "account_id year month day",
         "year month day",
     ),
+    _table(
+        # The same totals with the micro-batch of facts that last changed them, for refreshes by difference.
+        "player_totals",
+        "account_id bigint, year int, month int, day int, matches_played bigint, matches_won bigint, "
+        "time_played_in_sec bigint, batch bigint",
+        "account_id year month day",
+        "year month day",
+    ),
     _table(
         "daily_player",
         "year int, month int, day int, account_id bigint, time_ bigint, hero_id string, duration int",

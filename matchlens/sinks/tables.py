@@ -17,6 +17,8 @@ STREAM_TABLES = ("hero_win_rate", "region_num_of_players", "player_match", "dail
 # Stream tables number the folder of micro-batch n as n times this. Compaction uses the numbers between: one each time, and
 # only once a newer micro-batch has come or when an interrupted run is repeated.
 BATCH_STEP = 1000
+# The newest micro-batch in a folder; merged folders count as the newest one they hold.
+MICRO_BATCH = f"batch div {BATCH_STEP} * {BATCH_STEP}"
 # Tables keyed by it get a Parquet bloom filter on it, for lookups of one key over all days.
 BLOOM_COLUMN = "account_id"
 
@@ -62,8 +64,11 @@ class Tables:
 
         Compacted folders count as the newest micro-batch they hold: merging brings no newer rows.
         """
-        micro_batch = F.expr(f"batch div {BATCH_STEP} * {BATCH_STEP}")
-        return self._scan(name).groupBy("year", "month", "day").agg(F.max(micro_batch).alias("batch"))
+        return self._scan(name).groupBy("year", "month", "day").agg(F.max(F.expr(MICRO_BATCH)).alias("batch"))
+
+    def read_batches(self, name: str, where: Column) -> DataFrame:
+        """The rows of a stream table as they came, replaced ones included, with the number of their folder (``batch``)."""
+        return self._scan(name).where(where)
 
     def _scan(self, name: str) -> DataFrame:
         table = S.TABLES[name]

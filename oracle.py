@@ -285,6 +285,11 @@ def oracle_sql() -> dict[str, str]:
   WHERE (year, month) IN (SELECT (year, month) FROM closed) GROUP BY ALL""",
         early,
     )
+    sql["refresh_by_difference"] = sql["refresh_with_late_facts"]
+    sql["refresh_users_by_difference"] = _matches(
+        "SELECT year, month, day, count(DISTINCT account_id) AS num FROM pm JOIN closed USING (year, month, day) GROUP BY ALL",
+        early,
+    )
     sql["refresh_monthly_sketches_stored"] = _matches(
         """SELECT year, month, count(DISTINCT account_id) AS num, true AS close FROM pm
   WHERE (year, month) IN (SELECT (year, month) FROM closed) GROUP BY ALL""",
