@@ -80,7 +80,8 @@ def with_positions(rows: DataFrame, keys: Sequence[str], before: DataFrame | Non
 
     ``rows`` carries ``chunk`` and ``copies``; ``before`` (keys, ``before``) shifts the start of a
     key. The window sorts by key, chunk and order, and the merge join with the chunk offsets reuses
-    that partitioning and order, so the expanded rows are shuffled and sorted once.
+    that partitioning and order, so the expanded rows are shuffled and sorted once. The join is asked for by name:
+    Spark knows the rows by the size of their matches before these are expanded, and would broadcast them.
     """
     counts = rows.groupBy(*keys, "chunk").agg(F.sum("copies").alias("_count"))
     earlier = Window.partitionBy(*keys).orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
@@ -92,7 +93,7 @@ def with_positions(rows: DataFrame, keys: Sequence[str], before: DataFrame | Non
         )
     inside = Window.partitionBy(*keys, "chunk").orderBy(*ORDER).rowsBetween(Window.unboundedPreceding, 0)
     local = rows.withColumn("_local", F.sum("copies").over(inside))
-    joined = local.join(offsets, [*keys, "chunk"])
+    joined = local.join(offsets.hint("merge"), [*keys, "chunk"])
     return joined.withColumn("position", F.col("_offset") + F.col("_local")).drop("_offset", "_local", "chunk")
 
 

@@ -249,3 +249,10 @@ def test_date_filters(spark):
     rows = spark.createDataFrame([(2024, 1, 5), (2024, 1, 6), (2024, 2, 5)], "year int, month int, day int")
     assert [tuple(r) for r in rows.where(on_day("2024-01-05")).collect()] == [(2024, 1, 5)]
     assert rows.where(in_month("2024-01")).count() == 2
+
+
+def test_expanded_rows_are_never_broadcast(spark):
+    matches = frame(spark, *[match(i, start=START + i) for i in range(20)])
+    rows = sequence.with_positions(sequence.keyed_results(sequence.chunk_matches(matches)), sequence.WINDOW_KEY)
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
