@@ -1,7 +1,7 @@
 """BPE encoding and decoding; long unsplit words are encoded in parallel leaves and joined as a tree.
 
 Text is split into words by the vocabulary's own rules, and a word's result is looked up, so each distinct word
-is merged once per worker. A word longer than a leaf would make one task slow, so its leaves are encoded by separate
+is merged once per worker. No word reaches over a blank, so whole runs between blanks are looked up first. A word longer than a leaf would make one task slow, so its leaves are encoded by separate
 tasks. Two neighbouring encodings are joined by encoding a window around the join again, and doubling that
 window until its outer halves on both sides repeat the tokens that were there; from there on the two
 encodings already agree with the encoding of the whole.
@@ -23,6 +23,7 @@ from matchlens.llm.common import stage, text_of
 
 LEAF = 4096
 CACHED_WORDS = 400_000
+CACHED_RUNS, CACHED_LETTERS = 300_000, 1 << 24
 WORD_END = "</w>"
 
 LETTERS = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-ſ"
@@ -110,21 +111,38 @@ class Encoder:
         self.special = re.compile("|".join(map(re.escape, specials))) if specials else None
         self.unsplit = re.compile(rf"\S{{{leaf + 1}}}")
         self.letters = byte_letters()
-        self.words: dict[str, tuple[str, str, int]] = {}
-
-    def _pair(self, ids: list[int]) -> tuple[str, str, int]:
-        return " ".join(map(str, ids)), " ".join(map(self.tokenizer.id_to_token, ids)), len(ids)
-
-    def _look_up(self, words: list[str]) -> list[tuple[str, str, int]]:
-        known = self.words
-        missing = [w for w in dict.fromkeys(words) if w not in known]
-        if missing:
-            if len(known) + len(missing) > CACHED_WORDS:
-                known.clear()
-                missing = list(dict.fromkeys(words))
-            for word, coded in zip(missing, self.tokenizer.encode_batch(missing, add_special_tokens=False)):
-                known[word] = self._pair(coded.ids)
-        return [known[w] for w in words]
+        self.model = self.tokenizer.model
+        self.words: dict[str, tuple[str, str]] = {}
+        # Ids and tokens of whole runs between blanks, which may be several words.
+        self.ids: dict[str, str] = {}
+        self.shown: dict[str, str] = {}
+        self.held = 0
+
+    def _pair(self, ids: list[int]) -> tuple[str, str]:
+        return " ".join(map(str, ids)), " ".join(map(self.tokenizer.id_to_token, ids))
+
+    def _word(self, word: str) -> tuple[str, str]:
+        """Ids and tokens of a word of ``WORDS`` in familiar letters, which the rules neither change nor split any more."""
+        if word not in self.words:
+            if len(self.words) >= CACHED_WORDS:
+                self.words.clear()
+            tokens = self.model.tokenize("".join([self.letters[b] for b in word.encode()]))
+            self.words[word] = " ".join([str(t.id) for t in tokens]), " ".join([t.value for t in tokens])
+        return self.words[word]
+
+    def _learn(self, runs: list[str]) -> None:
+        """Make ``ids`` and ``shown`` hold these runs."""
+        fresh = set(runs).difference(self.ids)
+        if not fresh:
+            return
+        self.held += sum(map(len, fresh))
+        if len(self.ids) + len(fresh) > CACHED_RUNS or self.held > CACHED_LETTERS:
+            self.ids.clear()
+            self.shown.clear()
+            fresh = set(runs)
+            self.held = sum(map(len, fresh))
+        for run in fresh:
+            self.ids[run], self.shown[run] = (" ".join(filter(None, part)) for part in zip(*map(self._word, WORDS.findall(run))))
 
     def pieces(self, text: str) -> list[tuple[bool, str]]:
         """(is a special token, text) in order."""
@@ -141,19 +159,20 @@ class Encoder:
 
     def encode(self, text: str) -> tuple[str, str, int]:
         """(ids joined by spaces, decoded text, number of tokens) of a text without long words."""
-        found: list[tuple[str, str, int]] = []
+        ids: list[str] = []
+        shown: list[str] = []
         for special, piece in self.pieces(text):
-            if special:
-                found.append(self._pair([self.tokenizer.token_to_id(piece)]))
-            elif UNFAMILIAR.search(piece):
-                found.append(self._pair(self.tokenizer.encode(piece, add_special_tokens=False).ids))
-            else:
-                found += self._look_up(WORDS.findall(piece.lower()))
-        found = [f for f in found if f[2]]
-        if not found:
-            return "", "", 0
-        ids, shown, counts = zip(*found)
-        return " ".join(ids), " ".join(shown), sum(counts)
+            if not special and not UNFAMILIAR.search(piece):
+                runs = piece.lower().split()
+                self._learn(runs)
+                ids += map(self.ids.__getitem__, runs)
+                shown += map(self.shown.__getitem__, runs)
+                continue
+            coded = [self.tokenizer.token_to_id(piece)] if special else self.tokenizer.encode(piece, add_special_tokens=False).ids
+            for parts, part in zip((ids, shown), self._pair(coded)):
+                parts.append(part)
+        joined = " ".join(filter(None, ids))
+        return joined, " ".join(filter(None, shown)), joined.count(" ") + 1 if joined else 0
 
     def leaves(self, text: str) -> Iterator[tuple[int, list[str]]]:
         """(word number, symbols of one leaf) in order; a special token is one symbol of its own."""

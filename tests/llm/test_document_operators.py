@@ -454,3 +454,26 @@ def test_stages_carry_clashing_columns_and_odd_rows(make, spark):
     empty = spark.createDataFrame([], docs.schema)
     for _, work in corpus_pipeline.STAGES:
         assert work(spark, empty, SMALL).count() == 0
+
+
+def test_runs_of_familiar_characters_match_the_library():
+    coder, library = tree_bpe.Encoder(WORD), Tokenizer.from_file(WORD)
+    familiar = [c for c in map(chr, range(0x180)) if not tree_bpe.UNFAMILIAR.search(c)]
+    rng = random.Random(5)
+    texts = familiar + ["".join(rng.choice(familiar) for _ in range(60)) for _ in range(400)] + ["don't I'LL 're''s x's,y 12a3 ...'s"]
+    before = tree_bpe.CACHED_RUNS, tree_bpe.CACHED_WORDS
+    tree_bpe.CACHED_RUNS, tree_bpe.CACHED_WORDS = 50, 40
+    try:
+        for text in texts * 2:
+            coded = library.encode(text, add_special_tokens=False)
+            assert coder.encode(text) == (" ".join(map(str, coded.ids)), " ".join(coded.tokens), len(coded.ids)), text
+            assert len(coder.ids) <= max(50, len(set(text.lower().split()))) and len(coder.words) <= 40
+    finally:
+        tree_bpe.CACHED_RUNS, tree_bpe.CACHED_WORDS = before
+
+
+def test_a_learned_run_is_not_split_again(monkeypatch):
+    coder = tree_bpe.Encoder(WORD)
+    first = coder.encode("some words, again some words, again")
+    monkeypatch.setattr(tree_bpe, "WORDS", None)
+    assert coder.encode("some words, again some words, again") == first
