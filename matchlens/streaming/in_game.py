@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -18,6 +19,8 @@ from matchlens import schema as S
 from matchlens.streaming.windows import with_event_time
 
 PARTS = 8
+# Seconds whose open changes are one value of the state.
+SLICE = 86_400
 CHANGES = "cluster_id int, time bigint, delta bigint"
 # Timers need a state store that can look states up by time.
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -25,31 +28,62 @@ STATE_STORE_SETTING = "spark.sql.streaming.stateStore.providerClass"
 
 
 class PlayerChanges(StatefulProcessor):
-    """The open changes of one part of a cluster, by second."""
+    """The open changes of one part of a cluster: of each slice of time one value, its seconds in order with their sums.
+
+    A slice has a timer at its first open second. When it fires, all seconds that the watermark has passed are final, and
+    the timer of the others is set. What the state is asked thus depends on the number of slices, not on that of matches.
+    """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.open = handle.getMapState("open", "time bigint", "delta bigint")
+        self.open = handle.getMapState("slices", "slice bigint", "changes binary")
+
+    def _put(self, part: int, changes: np.ndarray) -> None:
+        self.open.updateValue((part,), (changes.tobytes(),))
+
+    def _get(self, part: int) -> np.ndarray:
+        """Rows (second, sum) of a slice; none if it is not there."""
+        known = self.open.getValue((part,)) if self.open.containsKey((part,)) else None
+        return np.frombuffer(bytes(known[0]) if known else b"", np.int64).reshape(-1, 2)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        deltas: dict[int, int] = {}
+        changes = []
         for batch in rows:
-            for start, duration in zip(batch["start_time"].tolist(), batch["duration"].tolist()):
-                deltas[start] = deltas.get(start, 0) + S.MATCH_PLAYERS
-                deltas[start + duration] = deltas.get(start + duration, 0) - S.MATCH_PLAYERS
-        for time, delta in deltas.items():
-            if self.open.containsKey((time,)):
-                delta += self.open.getValue((time,))[0]
-            else:
-                self.handle.registerTimer(time * 1000)
-            self.open.updateValue((time,), (delta,))
+            starts, durations = batch["start_time"].to_numpy(np.int64), batch["duration"].to_numpy(np.int64)
+            for times, players in ((starts, S.MATCH_PLAYERS), (starts + durations, -S.MATCH_PLAYERS)):
+                changes.append(np.column_stack([times, np.full(len(times), players)]))
+        fresh = _summed(np.concatenate(changes))
+        parts = fresh[:, 0] // SLICE
+        for part in np.unique(parts).tolist():
+            known, added = self._get(part), fresh[parts == part]
+            self._put(part, _summed(np.concatenate([known, added])))
+            if not len(known) or added[0, 0] < known[0, 0]:
+                self.handle.registerTimer(int(added[0, 0]) * 1000)
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        time = expiredTimerInfo.getExpiryTimeInMs() // 1000
-        delta = self.open.getValue((time,))[0]
-        self.open.removeKey((time,))
-        yield pd.DataFrame({"cluster_id": [int(key[0])], "time": [time], "delta": [delta]})
+        part = expiredTimerInfo.getExpiryTimeInMs() // 1000 // SLICE
+        changes = self._get(part)
+        final = changes[:, 0] * 1000 <= timerValues.getCurrentWatermarkInMs()
+        # An earlier timer of the slice may have taken them.
+        if not final.any():
+            return
+        left = changes[~final]
+        if len(left):
+            self._put(part, left)
+            self.handle.registerTimer(int(left[0, 0]) * 1000)
+        else:
+            self.open.removeKey((part,))
+        times, deltas = changes[final].T
+        yield pd.DataFrame({"cluster_id": np.full(len(times), int(key[0])), "time": times, "delta": deltas})
+
+
+def _summed(changes: np.ndarray) -> np.ndarray:
+    """Rows (second, sum) in the order of seconds, each once."""
+    times, place = np.unique(changes[:, 0], return_inverse=True)
+    sums = np.zeros(len(times), np.int64)
+    np.add.at(sums, place, changes[:, 1])
+    return np.column_stack([times, sums])
 
 
 def player_changes(matches: DataFrame, delay: str = S.MATCH_DELAY, parts: int = PARTS) -> DataFrame:

@@ -4,6 +4,7 @@ import os
 import random
 from pathlib import Path
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 from rows import DAY, START, bare_text, players
@@ -208,3 +209,55 @@ def test_newest_values_come_from_the_state(spark, tmp_path):
         finish(live_state.newest_value_writer(read_message_stream(spark, str(tmp_path / "in")), str(tmp_path / "ck")))
         found.append({r["key"]: r["value"] for r in live_state.read_newest_values(spark, str(tmp_path / "ck")).collect()})
     assert found == [{"1": "0.500", "1,2": "0.700"}, {"1": "0.600", "1,2": "0.700"}]
+
+
+def test_state_of_players_is_asked_by_slices():
+    class State:
+        def __init__(self):
+            self.values, self.timers, self.calls = {}, [], 0
+
+        def getMapState(self, *_):
+            return self
+
+        def containsKey(self, key):
+            self.calls += 1
+            return key in self.values
+
+        def getValue(self, key):
+            self.calls += 1
+            return self.values[key]
+
+        def updateValue(self, key, value):
+            self.calls += 1
+            self.values[key] = value
+
+        def removeKey(self, key):
+            del self.values[key]
+
+        def registerTimer(self, time):
+            self.calls += 1
+            self.timers.append(time)
+
+    class Clock:
+        def __init__(self, now, timer=None):
+            self.getCurrentWatermarkInMs, self.getExpiryTimeInMs = (lambda: now * 1000), (lambda: timer)
+
+    state, changes, found = State(), in_game.PlayerChanges(), []
+    changes.init(state)
+    starts = [START + 10 * i for i in range(500)]
+    for part in (starts[250:], starts[:250], starts[:1]):
+        rows = pd.DataFrame({"start_time": part, "duration": [1000] * len(part)})
+        assert list(changes.handleInputRows((7,), iter([rows]), Clock(0))) == []
+    assert state.calls < 20
+    for now in (START + 20, START + 20, START + 10_000):
+        due = [t for t in state.timers if t <= now * 1000]
+        state.timers = [t for t in state.timers if t > now * 1000]
+        for timer in due:
+            for rows in changes.handleExpiredTimer((7,), Clock(now), Clock(0, timer)):
+                found += rows.itertuples(index=False, name=None)
+    expected = {}
+    for start in [*starts, starts[0]]:
+        expected[start] = expected.get(start, 0) + 10
+        expected[start + 1000] = expected.get(start + 1000, 0) - 10
+    assert found == [(7, t, d) for t, d in sorted(expected.items())]
+    assert state.values == {}
